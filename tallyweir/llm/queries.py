@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tallyweir.llm import leakage, tokenizer
+from tallyweir.llm import language, leakage, tokenizer
 from tallyweir.session import table
 
 QUERIES = {
+    "p10_found": lambda spark, d: language.cases(language.label_lines(table(spark, d, "documents"))),
+    "p10_lines": lambda spark, d: language.label_lines(table(spark, d, "documents")),
     "p9_found": lambda spark, d: leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_item")),
     "p9_spans": lambda spark, d: leakage.leaked_spans(table(spark, d, "documents"), table(spark, d, "eval_item")),
     "p8_ids": lambda spark, d: tokenizer.encode(table(spark, d, "documents")),
