@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from tallyweir.llm import language, leakage, tokenizer
+from tallyweir.llm import language, leakage, linkage, tokenizer
 from tallyweir.session import table
 
 QUERIES = {
+    "p7_found": lambda spark, d: linkage.same_companies(table(spark, d, "customers"), table(spark, d, "classified_company")),
+    "p7_confidence": lambda spark, d: linkage.link(table(spark, d, "customers"), table(spark, d, "classified_company")),
     "p10_found": lambda spark, d: language.cases(language.label_lines(table(spark, d, "documents"))),
     "p10_lines": lambda spark, d: language.label_lines(table(spark, d, "documents")),
     "p9_found": lambda spark, d: leakage.leaks(table(spark, d, "documents"), table(spark, d, "eval_item")),
