@@ -270,7 +270,7 @@ SELECT client_id, relation, party_key, name, client_name FROM (SELECT customer_i
     "dat3_month_grid": f"WITH {T} SELECT tender_id, CAST(last_day(CAST(m AS DATE)) AS DATE) AS month_end FROM (SELECT tender_id, unnest(generate_series(date_trunc('month', CAST(publish_date AS DATE)), date_trunc('month', CAST(closing_date AS DATE)), INTERVAL 1 MONTH)) AS m FROM t)",
     "str_scalars": f"""SELECT DISTINCT tender_id, CAST(try_strptime(nullif(regexp_extract(awarded_date, '\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}'), ''), '%d/%m/%Y') AS DATE) AS slashed, {ISO.format(c='awarded_date')} AS iso, round(awarded_amount, 2) AS money,
   lower(regexp_replace(trim(regexp_replace(subject || ' :', '\\s+', ' ', 'g')), ':+$', '')) AS label, tender_id || '@' || coalesce(state, '') AS ref, 'counterparty' AS direction, (CASE state WHEN 'future' THEN 0 WHEN 'published' THEN 1 WHEN 'closed' THEN 2 WHEN 'technical' THEN 3 WHEN 'financial' THEN 4 WHEN 'awarded' THEN 5 WHEN 'cancelled' THEN 6 ELSE -1 END)::BIGINT AS rank,
-  CASE WHEN state = 'published' THEN NULL WHEN family = 'bid' THEN 'bids-' || state ELSE state END AS kind, true AS cleaned, false AS rejected, CASE state WHEN 'technical' THEN 'technical' ELSE 'unknown' END AS stage FROM tender""",
+  CASE WHEN state = 'published' THEN NULL WHEN family = 'bid' THEN 'bids-' || state ELSE state END AS kind, true AS cleaned, false AS rejected, CASE state WHEN 'technical' THEN 'technical' WHEN 'financial' THEN 'financial' ELSE 'unknown' END AS stage FROM tender""",
     "str6_names": "SELECT DISTINCT name, name_normalised AS norm FROM tender_company",
     "str6_score_names": "SELECT DISTINCT name, name_norm AS norm FROM company",
     "str7_keys": "SELECT DISTINCT name, array_to_string(list_sort(list_distinct(string_split(name_normalised, ' '))), ' ') AS key, array_to_string(list_transform(string_split(regexp_replace(name_normalised, '[aeiou]', '', 'g'), ' '), lambda w: list_reduce(string_split(w, ''), lambda a, b: CASE WHEN right(a, 1) = b THEN a ELSE a || b END)), ' ') AS skeleton FROM tender_company WHERE name_normalised <> ''",
