@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweir.operators.history import BLANK, canonical_id
+from tallyweir.session import cut
 
 SLOT_SECONDS = 86_400
 
@@ -55,10 +56,10 @@ def as_known_at(events: DataFrame, history: DataFrame, attributes: list[str]) ->
     """
     history = history.where("entity is not null and from_date is not null and recorded_at is not null")
     wide = history.groupBy("entity", "from_date", "recorded_at").agg(F.max(F.struct(*attributes)).alias("a"))
-    versions = known_versions(history.select("entity", "from_date", "recorded_at"))
+    versions = cut(known_versions(history.select("entity", "from_date", "recorded_at")))
     times = events.where("entity is not null and at is not null").select("entity", "at").distinct()
     none = F.lit(None).cast("struct<from_date:date,recorded_at:timestamp>")
-    numbered = version_numbers(versions.select("entity", F.col("known").alias("at"), F.lit(1).alias("change"), "k").unionByName(times.select("entity", "at", F.lit(0).alias("change"), none.alias("k"))))
+    numbered = cut(version_numbers(versions.select("entity", F.col("known").alias("at"), F.lit(1).alias("change"), "k").unionByName(times.select("entity", "at", F.lit(0).alias("change"), none.alias("k")))))
     by_number = numbered.where("change = 1").select("entity", "number", "k.from_date", "k.recorded_at").join(wide, ["entity", "from_date", "recorded_at"]).select("entity", "number", "from_date", "recorded_at", "a.*")
     at_number = events.join(numbered.where("change = 0 and number > 0").select("entity", "at", "number"), ["entity", "at"])
     return at_number.join(by_number, ["entity", "number"]).select("event_id", "entity", "at", "from_date", "recorded_at", *attributes)
