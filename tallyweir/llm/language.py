@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 LANGUAGES = ["en", "ar", "fr", "es", "tr", "fa", "ur"]
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 #: vowel marks, joiners and stretching are no part of a word
-_UNWRITTEN = {n: None for n in range(0x3000) if unicodedata.category(chr(n)) in ("Mn", "Cf")} | {0x640: None}
+_UNWRITTEN = re.compile("[" + "".join(map(re.escape, [c for c in map(chr, range(0x3000)) if unicodedata.category(c) in ("Mn", "Cf")])) + "ـ]+")
 
 
 @dataclass(frozen=True)
@@ -53,7 +53,7 @@ def lines_of(text: str) -> list[str]:
 
 def words_of(line: str) -> list[str]:
     if not line.isascii():
-        line = unicodedata.normalize("NFKC", line).translate(_UNWRITTEN)
+        line = _UNWRITTEN.sub("", unicodedata.normalize("NFKC", line))
     return _WORD.findall(line.lower())
 
 
@@ -69,8 +69,8 @@ def features(word: str, lexicon: dict[str, tuple[int, ...]], bits: int) -> list[
     return [zlib.crc32(f.encode()) & mask for f in sorted(out)]
 
 
-def forward_backward(e: np.ndarray, mask: np.ndarray, a: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Posteriors (sequences x words x labels) and expected transitions. e: exp of emissions, a: exp of transitions; both scaled at each word."""
+def forward_backward(e: np.ndarray, mask: np.ndarray, a: np.ndarray, start: np.ndarray, expect: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
+    """Posteriors (sequences x words x labels) and, if asked for, expected transitions. e: exp of emissions, a: exp of transitions; both scaled at each word."""
     b, t, k = e.shape
     fwd, bwd = np.empty_like(e), np.ones_like(e)
     row = e[:, 0] * start
@@ -88,6 +88,8 @@ def forward_backward(e: np.ndarray, mask: np.ndarray, a: np.ndarray, start: np.n
         bwd[:, i] = row
     post = fwd * bwd
     post /= post.sum(2, keepdims=True)
+    if not expect:
+        return post, None
     ahead = e[:, 1:] * bwd[:, 1:] * mask[:, 1:, None]
     norm = np.einsum("btk,kl,btl->bt", fwd[:, :-1], a, ahead)
     ahead = ahead / np.where(norm > 0, norm, 1)[..., None]
@@ -99,18 +101,27 @@ class Field:
 
     def __init__(self, weights: np.ndarray, trans: np.ndarray, start: np.ndarray, lexicon: dict[str, tuple[int, ...]], bits: int):
         self.weights, self.trans, self.start, self.lexicon, self.bits = weights, trans, start, lexicon, bits
-        self.known: dict[str, np.ndarray] = {}
-
-    def emission(self, word: str) -> np.ndarray:
-        e = self.known.get(word)
-        if e is None:
-            if len(self.known) > 300_000:
-                self.known.clear()
-            e = self.known[word] = self.weights[features(word, self.lexicon, self.bits)].sum(0)
-        return e
-
-    def posteriors(self, texts: list[list[str]]) -> list[np.ndarray]:
-        """words x labels of each text, in groups of like length."""
+        self._forget()
+
+    def _forget(self) -> None:
+        k = len(LANGUAGES)
+        self.at: dict[str, int] = {}
+        self.scores, self.held = np.zeros((1024, k)), np.zeros((1024, k), dtype=bool)
+
+    def ids(self, words: list[str]) -> list[int]:
+        """Rows of the words in ``scores`` (exp of emissions) and ``held`` (lexicons); new words get theirs now."""
+        at = self.at
+        for w in {w for w in words if w not in at}:
+            i = self.at[w] = len(self.at)
+            if i == len(self.scores):
+                self.scores, self.held = np.concatenate([self.scores, np.zeros_like(self.scores)]), np.concatenate([self.held, np.zeros_like(self.held)])
+            e = self.weights[features(w, self.lexicon, self.bits)].sum(0)
+            self.scores[i] = np.exp(e - e.max())
+            self.held[i, list(self.lexicon.get(w, ()))] = True
+        return [at[w] for w in words]
+
+    def posteriors(self, texts: list[list[int]]) -> list[np.ndarray]:
+        """words x labels of each text of word ids, in groups of like length."""
         out: list[np.ndarray] = [np.zeros((0, len(LANGUAGES)))] * len(texts)
         order = sorted((i for i, t in enumerate(texts) if t), key=lambda i: len(texts[i]))
         a, start = np.exp(self.trans), np.exp(self.start)
@@ -118,11 +129,10 @@ class Field:
             n = max(1, min(256, 60_000 // len(texts[order[-1]])))
             group, order = order[-n:], order[:-n]
             longest = max(len(texts[i]) for i in group)
-            e, mask = np.zeros((len(group), longest, len(LANGUAGES))), np.zeros((len(group), longest), dtype=bool)
+            x, mask = np.zeros((len(group), longest), dtype=np.int64), np.zeros((len(group), longest), dtype=bool)
             for r, i in enumerate(group):
-                e[r, : len(texts[i])] = [self.emission(w) for w in texts[i]]
-                mask[r, : len(texts[i])] = True
-            post, _ = forward_backward(np.exp(e - e.max(2, keepdims=True)), mask, a, start)
+                x[r, : len(texts[i])], mask[r, : len(texts[i])] = texts[i], True
+            post = forward_backward(self.scores[x], mask, a, start, False)[0]
             for r, i in enumerate(group):
                 out[i] = post[r, : len(texts[i])]
         return out
@@ -213,35 +223,36 @@ def sample_of(documents: DataFrame, how: Fit) -> list[tuple[str, str]]:
 
 def judge(field: Field, texts: list[str | None]) -> list[tuple[str | None, float, list[tuple[str, float]], bool]]:
     """(main language, its confidence, (language, confidence) of each non-blank line, mixed) of each text; None for a text without a sentence."""
-    split = [[words_of(x) for x in lines_of(t)] if t else [] for t in texts]
-    posts = field.posteriors([[w for ws in lines for w in ws] for lines in split])
+    if len(field.at) > 300_000:
+        field._forget()
+    raws = [lines_of(t) if t else [] for t in texts]
+    split = [[words_of(x) for x in lines] for lines in raws]
+    ids = [field.ids([w for ws in lines for w in ws]) for lines in split]
     out = []
-    for text, lines, post in zip(texts, split, posts):
-        # A sentence is at least three words in a row that some lexicon holds.
-        if not any(all(w in field.lexicon for w in ws[i : i + 3]) for ws in lines for i in range(len(ws) - 2)):
+    for raw, lines, own_ids, post in zip(raws, split, ids, field.posteriors(ids)):
+        held, size = field.held[own_ids], np.array([len(w) for ws in lines for w in ws], dtype=float)
+        # A sentence is at least three words in a row, on a line, that some lexicon holds.
+        known, line = held.any(1), np.repeat(np.arange(len(lines)), [len(ws) for ws in lines])
+        if len(known) < 3 or not (known[:-2] & known[1:-1] & known[2:] & (line[:-2] == line[2:])).any():
             out.append((None, 0.0, [], False))
             continue
         weight, at, own = np.zeros(len(LANGUAGES)), 0, []
-        for raw, ws in zip(lines_of(text), lines):
-            p = post[at : at + len(ws)]
-            at += len(ws)
-            if not ws:
+        for text, ws in zip(raw, lines):
+            to = at + len(ws)
+            mean = size[at:to] @ post[at:to] / size[at:to].sum() if ws else None
+            best = int(mean.argmax()) if ws else -1
+            if ws and held[at:to, best].sum() >= 2:
+                weight[best] += len(text.strip())
+                own.append((best, float(mean[best])))
+            else:  # names, codes and fragments have no language of their own
                 own.append(None)
-                continue
-            size = np.array([len(w) for w in ws], dtype=float)
-            mean = size @ p / size.sum()
-            best = int(mean.argmax())
-            if sum(best in field.lexicon.get(w, ()) for w in ws) < 2:  # names, codes and fragments have no language of their own
-                own.append(None)
-                continue
-            weight[best] += len(raw.strip())
-            own.append((best, float(mean[best])))
+            at = to
         if not weight.any():
-            weight[int(np.array([len(w) for ws in lines for w in ws]).dot(post).argmax())] = 1
+            weight[int((size @ post).argmax())] = 1
         main = int(weight.argmax())
         sure = [c for x in own if x for b, c in [x] if b == main]
         named = [(LANGUAGES[x[0]], round(x[1], 4)) if x else (LANGUAGES[main], 0.0) for x in own]
-        out.append((LANGUAGES[main], round(float(np.mean(sure)), 4) if sure else 0.0, named, (weight > 0).sum() > 1))
+        out.append((LANGUAGES[main], round(float(np.mean(sure)), 4) if sure else 0.0, named, bool((weight > 0).sum() > 1)))
     return out
 
 
