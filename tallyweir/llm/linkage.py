@@ -243,7 +243,11 @@ def link(customers: DataFrame, register: DataFrame, least: float = 0.5) -> DataF
     b = _parse(right.select("name", "number").distinct().withColumn("right", F.xxhash64("name", "number")), ["name"])
     a, b = cut(a), cut(b)
     by_number = a.join(b.select("right", "number"), "number").select("left", "right")
-    by_name = a.select("left", F.explode("keys").alias("k")).join(b.select("right", F.explode("keys").alias("k")), "k").select("left", "right")
+    # A pair that shares a single key, by chance mostly, is kept where the lines of business allow it.
+    keyed = lambda d, side, lines: d.select(side, F.explode("keys").alias("k"), F.array_distinct(F.flatten("parsed.business")).alias(lines))
+    inside = lambda x, y: F.size(F.array_except(x, y)) == 0
+    shared = keyed(a, "left", "x").join(keyed(b, "right", "y"), "k").select("left", "right", (inside("x", "y") | inside("y", "x")).alias("fits"))
+    by_name = shared.groupBy("left", "right").agg(F.count("*").alias("n"), F.max("fits").alias("fits")).where("n >= 2 or fits").select("left", "right")
     pairs = by_number.unionByName(by_name).distinct()
     pairs = pairs.join(a.select("left", F.col("number").alias("a_number"), F.col("parsed").alias("a_parsed")), "left").join(b.select("right", F.col("number").alias("b_number"), F.col("parsed").alias("b_parsed")), "right")
     voted = cut(_vote(pairs))
