@@ -4,7 +4,7 @@ The corpus is indexed once: a posting is (term, doc_id, positions), kept by shar
 shard, so that a hot term is spread over all shards, and reading some terms skips the rest. Postings are stored for the
 terms that any item holds. Items are then sought from their rarest terms: if a text holds at least ``share`` of an item's
 n words, it holds at least ``k - floor((1 - share) n)`` of any k of them, so the lists of the rarest k positions are
-intersected after adjusting them by the item's offsets, with a drift of n. What is left is checked against all the item's
+intersected: by document, then after adjusting them by the item's offsets, with a drift of n. What is left is checked against all the item's
 postings in those documents: an exact phrase, or a longest common subsequence inside a window.
 """
 
@@ -23,6 +23,8 @@ from tallyweir.llm.words import words
 from tallyweir.session import shared_dir, small_side
 
 SHARE, SPAN = 0.55, 1.5
+#: of an item's words, the part that must be met among its rarest ones before a document is looked into
+MET = 0.2
 #: the most words all items together may hold to be sought in one run; larger sets are to be given in parts
 MOST_ITEM_WORDS = 5_000_000
 INDEX_SCHEMA = "term string, doc_id bigint, positions array<int>"
@@ -68,7 +70,7 @@ def probes(texts: dict[int, list[str]], df: dict[str, int], share: float = SHARE
     out = []
     for item, ws in texts.items():
         n = len(ws)
-        need = max(1, min(2, n), ceil(0.1 * n))
+        need = max(1, ceil(MET * n))
         k = min(n, floor((1 - share) * n) + need)
         need = k - floor((1 - share) * n)
         rarest = sorted(range(n), key=lambda i: (df.get(ws[i], 0), ws[i], i))[:k]
@@ -76,28 +78,35 @@ def probes(texts: dict[int, list[str]], df: dict[str, int], share: float = SHARE
     return out
 
 
-def longest_in_order(item: list[str], hits: list[tuple[int, str]], span: int) -> tuple[int, int, int]:
-    """(words of the item met in order, first, last position) of the best window of ``span`` positions; bit-parallel."""
+def longest_in_order(item: list[str], hits: list[tuple[int, str]], span: int, least: int = 1) -> tuple[int, int, int]:
+    """(words of the item met in order, first, last position) of the best window of ``span`` positions that meets ``least`` or more; bit-parallel.
+
+    A window is looked into only if the item's words in it, in any order, are enough for more than the best so far.
+    """
     at: dict[str, int] = {}
     for i, w in enumerate(item):
         at[w] = at.get(w, 0) | 1 << i
-    full, best = (1 << len(item)) - 1, (0, -1, -1)
-    for a, (start, _) in enumerate(hits):
-        if best[0] and start + span <= hits[-1][0] and a and hits[a - 1][0] == start:
-            continue
-        row, last = full, start
-        for pos, w in hits[a:]:
-            if pos >= start + span:
-                break
-            u = row & at[w]
-            new = ((row + u) | (row - u)) & full
-            if new != row:
-                last, row = pos, new
-        met = len(item) - row.bit_count()
-        if met > best[0]:
-            best = (met, start, last)
-        if met == len(item):
-            break
+    many = {w: bits.bit_count() for w, bits in at.items()}
+    full, best, end, met = (1 << len(item)) - 1, (0, -1, -1), 0, 0
+    held: dict[str, int] = {}
+    for a, (start, first) in enumerate(hits):
+        while end < len(hits) and hits[end][0] < start + span:
+            w = hits[end][1]
+            held[w] = held.get(w, 0) + 1
+            met += held[w] <= many[w]
+            end += 1
+        if met >= least and met > best[0]:
+            row, last = full, start
+            for pos, w in hits[a:end]:
+                u = row & at[w]
+                new = ((row + u) | (row - u)) & full
+                if new != row:
+                    last, row = pos, new
+            found = len(item) - row.bit_count()
+            if found >= least and found > best[0]:
+                best = (found, start, last)
+        met -= held[first] <= many[first]
+        held[first] -= 1
     return best
 
 
@@ -112,30 +121,50 @@ def leaked_spans(documents: DataFrame, items: DataFrame, share: float = SHARE, s
     terms = {w for ws in texts.values() for w in ws}
     index = build_index(documents, terms, f"{shared_dir(spark)}/index-{uuid.uuid4().hex}")
     df = {r["term"]: r["n"] for r in index.groupBy("term").agg(F.count("*").alias("n")).toLocalIterator()}  # at most the items' terms
-    probe = small_side(spark.createDataFrame(probes(texts, df, share), "item_id bigint, term string, offset int, n int, need int"))
-    hits = index.join(probe, "term").select("doc_id", "item_id", "offset", "n", "need", F.explode("positions").alias("pos"))
-    window = F.floor((F.col("pos") - F.col("offset")) / F.col("n"))
-    met = hits.select("doc_id", "item_id", "offset", "need", F.explode(F.array(window, window - 1)).alias("window"))
-    likely = met.distinct().groupBy("doc_id", "item_id", "window").agg(F.count("*").alias("met"), F.first("need").alias("need")).where("met >= need").select("doc_id", "item_id").distinct()
-    every = small_side(spark.createDataFrame([(i, w) for i, ws in texts.items() for w in {*ws}], "item_id bigint, term string"), 200_000)
-    near = index.join(likely, "doc_id").join(every, ["item_id", "term"])
-    lists = near.groupBy("doc_id", "item_id").agg(F.collect_list(F.struct("term", "positions")).alias("lists"))  # bounded by one text's words
-    known = spark.sparkContext.broadcast(texts)
+    sought = probes(texts, df, share)
+    probe = small_side(spark.createDataFrame([(i, t, n) for i, t, _, _, n in sought], "item_id bigint, term string, need int"))
+    # A shard holds all postings of its documents, so counting before the shuffle is already complete.
+    met = index.select("term", "doc_id").join(probe, "term").groupBy("doc_id", "item_id").agg(F.count("*").alias("met"), F.first("need").alias("need")).where("met >= need")
+    likely = met.groupBy("doc_id").agg(F.collect_list("item_id").alias("items"))  # bounded by the items
+    lists = index.join(likely.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("term", "positions")).alias("lists"))  # bounded by one text's words
+    offsets: dict[int, dict[str, list[int]]] = {}
+    for item, term, offset, _, _ in sought:
+        offsets.setdefault(item, {}).setdefault(term, []).append(offset)
+    known = spark.sparkContext.broadcast((texts, offsets, {i: n for i, _, _, _, n in sought}))
 
     def verified(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words_of, offsets_of, need_of = known.value
         for batch in it:
             out = []
-            for doc, item, parts in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                ws = known.value[item]
-                hits = sorted((p, x["term"]) for x in parts for p in x["positions"])
-                matched, first, last = longest_in_order(ws, hits, ceil(span * len(ws)))
-                if matched >= share * len(ws):
-                    exact = matched == len(ws) == last - first + 1
-                    out.append((doc, item, matched, len(ws), round(matched / len(ws), 4), first, last, "phrase" if exact else "proximity"))
-            frame = pd.DataFrame(out, columns=["doc_id", "item_id", "matched", "words", "share", "first_word", "last_word", "kind"])
+            for doc, items, parts in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                at: dict[str, list[int]] = {}
+                for x in parts:
+                    at.setdefault(x["term"], []).extend(x["positions"])
+                for item in items:
+                    ws = words_of[item]
+                    if not aligned(at, offsets_of[item], len(ws), need_of[item]):
+                        continue
+                    hits = sorted((p, w) for w in {*ws} for p in at.get(w, ()))
+                    matched, first, last = longest_in_order(ws, hits, ceil(span * len(ws)), ceil(share * len(ws)))
+                    if matched:
+                        exact = matched == len(ws) == last - first + 1
+                        out.append((doc, item, matched, len(ws), round(matched / len(ws), 4), first, last, "phrase" if exact else "proximity"))
+            frame = pd.DataFrame(out, columns=SPANS.names)
             yield pa.RecordBatch.from_pandas(frame, schema=SPANS, preserve_index=False)
 
-    return lists.mapInArrow(verified, "doc_id bigint, item_id bigint, matched int, words int, share double, first_word int, last_word int, kind string")
+    return likely.join(lists, "doc_id").select("doc_id", "items", "lists").mapInArrow(verified, "doc_id bigint, item_id bigint, matched int, words int, share double, first_word int, last_word int, kind string")
+
+
+def aligned(at: dict[str, list[int]], offsets: dict[str, list[int]], n: int, need: int) -> bool:
+    """Whether ``need`` of the item's rare positions meet after adjusting the lists by their offsets, with a drift of n words."""
+    met: dict[int, set[int]] = {}
+    for term, own in offsets.items():
+        for p in at.get(term, ()):
+            for offset in own:
+                k = (p - offset) // n
+                met.setdefault(k, set()).add(offset)
+                met.setdefault(k - 1, set()).add(offset)
+    return any(len(x) >= need for x in met.values())
 
 
 SPANS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("matched", pa.int32()), ("words", pa.int32()), ("share", pa.float64()), ("first_word", pa.int32()), ("last_word", pa.int32()), ("kind", pa.string())])
