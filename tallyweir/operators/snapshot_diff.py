@@ -21,6 +21,7 @@ def _blanks(c):
 
 def canonical_snapshots(company: DataFrame, sweeps: DataFrame) -> DataFrame:
     """pair (position of the snapshot), snapshot_date, id, name, cr_number, industry, misses: the live rows of finished snapshots."""
+    company = company.select("snapshot_date", "loaded_at", "id", "name", "cr_number", "industry", "misses", "gone_at")
     finished = sweeps.where("finished").select("sweep_date").distinct()
     dates = company.select(F.col("snapshot_date").alias("sweep_date")).distinct().join(finished, "sweep_date", "left_semi")
     numbered = dates.groupBy().agg(F.array_sort(F.collect_list("sweep_date")).alias("s")).select(F.posexplode("s").alias("pos", "snapshot_date"))
@@ -53,7 +54,7 @@ def snapshot_changes(company: DataFrame, sweeps: DataFrame, depth: int = 3, bits
     fields = ["name", "cr_number", "industry", "misses"]
     canonical = canonical_snapshots(company, sweeps)
     packed = F.to_json(F.struct("id", *fields))
-    leaf = F.shiftrightunsigned(F.xxhash64("id"), 64 - depth * bits).cast("int")
+    leaf = F.shiftrightunsigned(F.xxhash64("id"), 64 - depth * bits).cast("int") if depth else F.lit(0)
     rows = cut(canonical.select("pos", "snapshot_date", "id", F.struct(*fields).alias("v"), leaf.alias("leaf"), F.xxhash64(packed).alias("h1"), F.xxhash64(F.lit(7), packed).alias("h2")))
     last = rows.agg(F.max("pos")).first()[0] or 0
     differ = differing_leaves(rows.select("pos", "leaf", "h1", "h2"), last, depth, bits)
