@@ -231,9 +231,10 @@ def judge(field: Field, texts: list[str | None]) -> list[tuple[str | None, float
     out = []
     for raw, lines, own_ids, post in zip(raws, split, ids, field.posteriors(ids)):
         held, size = field.held[own_ids], np.array([len(w) for ws in lines for w in ws], dtype=float)
-        # A sentence is at least three words in a row, on a line, that some lexicon holds.
+        # A sentence has three words in a row, on a line, that some lexicon holds, or three different ones of two letters or more.
         known, line = held.any(1), np.repeat(np.arange(len(lines)), [len(ws) for ws in lines])
-        if len(known) < 3 or not (known[:-2] & known[1:-1] & known[2:] & (line[:-2] == line[2:])).any():
+        row = len(known) > 2 and (known[:-2] & known[1:-1] & known[2:] & (line[:-2] == line[2:])).any()
+        if not row and len({i for i, k, n in zip(own_ids, known, size) if k and n > 1}) < 3:
             out.append((None, 0.0, [], False))
             continue
         weight, at, own = np.zeros(len(LANGUAGES)), 0, []
