@@ -111,7 +111,8 @@ def _instant(v: Column, local: bool, zone: Column) -> Column:
 def normalise(df: DataFrame, candidates: list[Candidate], out: str = "utc_ms", tz: Column | None = None, default_tz: str = "UTC") -> DataFrame:
     """Adds ``out``: the first readable of the candidates as UTC milliseconds. Rows and other columns stay as they are."""
     said = F.trim(tz) if tz is not None else F.lit("")
-    zone = F.when(F.coalesce(said, F.lit("")) == "", F.lit(default_tz)).when(said.isin(known_zones(df.sparkSession)) | said.rlike(r"^[+-](0\d|1[0-7]):[0-5]\d$"), said)
+    zones = known_zones(df.sparkSession) if any(c.local for c in candidates) else []
+    zone = F.when(F.coalesce(said, F.lit("")) == "", F.lit(default_tz)).when(said.isin(zones) | said.rlike(r"^[+-](0\d|1[0-7]):[0-5]\d$"), said)
     keep = df.columns
     kept = lambda d, *more: d.select(*(F.col(f"`{c}`") for c in keep), *more)
     df, found = df.withColumn("__zone", zone), None

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweir.functions import text
-from tallyweir.functions.similarity import MIN_SKELETON, indel_ratio, length_bound, sorted_words
+from tallyweir.functions.similarity import MIN_SKELETON, indel_ratio, near_enough, sorted_words
 from tallyweir.session import cut
 
 FUZZY, TRANSLIT = 0.92, 0.90
@@ -40,10 +40,13 @@ def rarest_words(queries: DataFrame, names: DataFrame, words: int = 2) -> DataFr
 
 def fuzzy_pairs(queries: DataFrame, names: DataFrame, least: float) -> DataFrame:
     """query, norm, score of the distinct normalised names that share a rarest word and are similar enough, not equal."""
-    held = names.select("arabic", "norm").distinct().select("arabic", "norm", F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
-    pairs = rarest_words(queries, names).join(held, ["arabic", "word"]).where("query <> norm").where(length_bound(F.col("query"), F.col("norm"), least)).select("query", "norm").distinct()
-    scored = pairs.withColumn("score", indel_ratio(sorted_words(F.col("query")), sorted_words(F.col("norm"))))
-    return scored.where(F.col("score") >= least).withColumn("score", F.round("score", 3))
+    in_order = lambda c: sorted_words(F.col(c)).alias(f"{c}_words")
+    held = names.select("arabic", "norm").distinct().select("arabic", "norm", in_order("norm"), F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
+    asked = rarest_words(queries, names).select("arabic", "query", "word", in_order("query"))
+    # Most pairs go before any shuffle of pairs: by their lengths, then by a banded edit distance.
+    pairs = asked.join(held, ["arabic", "word"]).where("query <> norm").where(near_enough(F.col("query_words"), F.col("norm_words"), least)).drop("word", "arabic").distinct()
+    scored = pairs.withColumn("score", indel_ratio("query_words", "norm_words"))
+    return scored.where(F.col("score") >= least).select("query", "norm", F.round("score", 3).alias("score"))
 
 
 def _segments(n: int, parts: int) -> list[tuple[int, int]]:
@@ -91,7 +94,7 @@ def translit_pairs(queries: DataFrame, names: DataFrame, least: float) -> DataFr
     forms = lambda d, as_: d.select("arabic", F.explode("forms").alias(as_)).where(F.length(as_) >= MIN_SKELETON).distinct()
     q = forms(queries, "query").withColumn("k", F.explode(segment_keys(F.col("query"), least, False)))
     n = forms(names, "form").withColumn("k", F.explode(segment_keys(F.col("form"), least, True))).withColumn("arabic", ~F.col("arabic"))
-    pairs = q.join(n, ["arabic", "k"]).where(length_bound(F.col("query"), F.col("form"), least)).select("query", "form", "arabic").distinct()
+    pairs = q.join(n, ["arabic", "k"]).where(near_enough(F.col("query"), F.col("form"), least)).select("query", "form", "arabic").distinct()
     scored = pairs.withColumn("score", indel_ratio(F.col("query"), F.col("form")))
     return scored.where(F.col("score") >= least).withColumn("score", F.round("score", 3))
 
