@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyweir.functions.similarity import plain_ratio as ratio
 from tallyweir.llm.words import words
 from tallyweir.session import cut
 
@@ -86,22 +87,6 @@ def ends(own: list[str], end: int = END) -> set[str]:
     return keys
 
 
-def common_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence, bit-parallel."""
-    at: dict[str, int] = {}
-    for i, c in enumerate(a):
-        at[c] = at.get(c, 0) | 1 << i
-    row = full = (1 << len(a)) - 1
-    for c in b:
-        u = row & at.get(c, 0)
-        row = ((row + u) | (row - u)) & full
-    return len(a) - row.bit_count()
-
-
-def ratio(a: str, b: str) -> float:
-    return 2 * common_length(a, b) / (len(a) + len(b)) if a and b else 0.0
-
-
 def one_slip(a: str, b: str) -> bool:
     """Whether two different numbers differ by one digit changed, left out or added, or by two neighbours exchanged."""
     if abs(len(a) - len(b)) > 1 or a == b:
