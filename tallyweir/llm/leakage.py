@@ -113,8 +113,8 @@ def longest_in_order(item: list[str], hits: list[tuple[int, str]], span: int, le
 def leaked_spans(documents: DataFrame, items: DataFrame, share: float = SHARE, span: float = SPAN) -> DataFrame:
     """doc_id, item_id, matched, words, share, first_word, last_word, kind (phrase or proximity): the best place of each item in each document that holds at least ``share`` of its words in order within ``span`` times its length.
 
-    Null, empty and wordless texts hold and are nothing; the rows of a doc_id that comes twice count as separate texts of
-    it. Words compare as in words.fold. One row per document and item.
+    Null, empty and wordless texts hold and are nothing; the texts of a doc_id that comes twice are laid
+    over each other. Words compare as in words.fold. One row per document and item.
     """
     spark = documents.sparkSession
     texts = item_words(items)
