@@ -29,6 +29,13 @@ def grid_of(last: date, months: int, earliest: date | None) -> list[date]:
     return month_ends(max(date(y, m + 1, 1), date(earliest.year, earliest.month, 1)) if earliest else date(y, m + 1, 1), last)
 
 
+def score_grid(observations: DataFrame, as_of_end: date, months: int = 60) -> list[date]:
+    """The month ends from the month of the earliest observation to that of ``as_of_end``, none before the same month ``months // 12`` years earlier; only the last one if nothing was observed by then."""
+    low = date(as_of_end.year - months // 12, as_of_end.month, 1)
+    earliest = distinct_scores(observations).agg(F.min("day")).first()[0] or as_of_end
+    return month_ends(max(earliest, low), as_of_end) or month_ends(as_of_end, as_of_end)
+
+
 def latest_tenders(tender: DataFrame) -> DataFrame:
     """One row per tender, its latest reading (then the greater row)."""
     cols = [c for c in tender.columns if c not in ("tender_id", "parsed_at")]

@@ -13,7 +13,6 @@ from tallyweir.operators.history import canonical_id
 from tallyweir.session import table
 
 END, MONTHS, AT = date(2026, 6, 30), 24, date(2026, 3, 31)
-GRID = dates.month_ends(date(2025, 1, 1), END)
 FINAL = ["awarded", "cancelled"]
 
 
@@ -25,6 +24,10 @@ def _companies(spark, d) -> DataFrame:
     return features.distinct_companies(table(spark, d, "tender_company"))
 
 
+def _grid(spark, d) -> list[date]:
+    return features.score_grid(table(spark, d, "score_observation"), END)
+
+
 def _customers(spark, d) -> DataFrame:
     return table(spark, d, "customers").distinct()
 
@@ -183,11 +186,11 @@ QUERIES = {
     "f1_company_months": lambda s, d: features.company_months(_companies(s, d), _tender(s, d), table(s, d, "classified_company"), END, MONTHS),
     "f8_match_facts": _facts,
     "f2_client_months": lambda s, d: features.client_months(_facts(s, d), END, MONTHS),
-    "f3_score_profiles": lambda s, d: features.score_profile_months(table(s, d, "score_observation"), GRID),
-    "f4_cohort_medians": lambda s, d: features.cohort_medians(features.score_profile_months(table(s, d, "score_observation"), GRID), _industries(s, d), ["as_of"]),
-    "f5_standings": lambda s, d: features.standings(_listed(s, d), GRID),
+    "f3_score_profiles": lambda s, d: features.score_profile_months(table(s, d, "score_observation"), _grid(s, d)),
+    "f4_cohort_medians": lambda s, d: features.cohort_medians(features.score_profile_months(table(s, d, "score_observation"), _grid(s, d)), _industries(s, d), ["as_of"]),
+    "f5_standings": lambda s, d: features.standings(_listed(s, d), _grid(s, d)),
     "f6_client_rows": lambda s, d: features.client_score_months(_score_pairs(s, d), table(s, d, "score_observation"), _listed(s, d), _industries(s, d), [AT]),
-    "f7_client_score_months": lambda s, d: features.client_score_months(_score_pairs(s, d), table(s, d, "score_observation"), _listed(s, d), _industries(s, d), GRID, pick_one=True),
+    "f7_client_score_months": lambda s, d: features.client_score_months(_score_pairs(s, d), table(s, d, "score_observation"), _listed(s, d), _industries(s, d), _grid(s, d), pick_one=True),
     "st2_upsert_fold": _upserted,
     "st3_replace_children": _replaced,
     "st5_sightings": lambda s, d: lifecycle.sightings(table(s, d, "events").select("user_id", "event_type", F.to_date("ts").alias("day")), ["user_id", "event_type"], "day"),
