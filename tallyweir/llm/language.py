@@ -29,7 +29,7 @@ _UNWRITTEN = re.compile("[" + "".join(map(re.escape, [c for c in map(chr, range(
 
 @dataclass(frozen=True)
 class Fit:
-    """per_label: labelled documents of each language that the field is fitted on, at most; rounds: of relabelling; epochs and rate: of the gradient; bits: of the feature hash; chunk: words of a training sequence."""
+    """per_label: different labelled texts of each language that the field is fitted on, at most; rounds: of relabelling; epochs and rate: of the gradient; bits: of the feature hash; chunk: words of a training sequence."""
 
     per_label: int = 250
     rounds: int = 4
@@ -212,12 +212,15 @@ def fit(sample: list[tuple[str, str]], how: Fit = Fit()) -> Field:
 
 
 def sample_of(documents: DataFrame, how: Fit) -> list[tuple[str, str]]:
-    """The bounded fitting sample: of each label the per_label documents that a hash of their content puts first."""
+    """The bounded fitting sample: of each label the per_label different texts that a hash of their content puts first."""
     rows = documents.select(F.col("text").cast("string").alias("text"), label_of(F.col("lang").cast("string")).alias("label")).where("label is not null and text rlike '\\\\p{L}'")
-    salted = rows.withColumn("h", F.xxhash64("text")).withColumn("part", F.pmod("h", F.lit(64)))
-    order = [F.col("h"), F.col("text")]
-    near = salted.withColumn("r", F.row_number().over(Window.partitionBy("label", "part").orderBy(*order))).where(F.col("r") <= how.per_label)
-    last = near.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy(*order))).where(F.col("r") <= how.per_label)
+    salted = rows.withColumn("h", F.xxhash64("text"))
+    # Copies count once: the hashes are made distinct and ranked alone, only the texts of those that come first are fetched.
+    hashes = salted.select("label", "h").distinct().withColumn("part", F.pmod("h", F.lit(64)))
+    near = hashes.withColumn("r", F.row_number().over(Window.partitionBy("label", "part").orderBy("h"))).where(F.col("r") <= how.per_label)
+    first = near.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("h"))).where(F.col("r") <= how.per_label).select("label", "h")
+    texts = salted.join(F.broadcast(first), ["label", "h"]).distinct()  # per_label hashes of each label at most
+    last = texts.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("h", "text"))).where(F.col("r") <= how.per_label)
     return [(r["text"], r["label"]) for r in last.select("text", "label").orderBy("label", "text").collect()]
 
 
