@@ -83,7 +83,7 @@ def ends(own: list[str], end: int = END) -> set[str]:
     keys = set()
     for s in orders(own):
         for side, part in (("<", s[:end]), (">", s[-end:])):
-            keys |= {side + part[:i] + part[i + 1 :] for i in range(len(part))}
+            keys |= {side + part} | {side + part[:i] + part[i + 1 :] for i in range(len(part))}
     return keys
 
 
