@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from math import ceil, floor
+from fractions import Fraction
+from math import ceil
 
 import pandas as pd
 import pyarrow as pa
@@ -65,14 +66,20 @@ def build_index(documents: DataFrame, terms: set[str] | None, path: str) -> Data
     return documents.sparkSession.read.schema(INDEX_SCHEMA).parquet(path)
 
 
+def least_of(share: float, n: int) -> int:
+    """The least whole number that is ``share`` of n or more; share is taken as the decimal that it is written as."""
+    return ceil(Fraction(str(share)) * n)
+
+
 def probes(texts: dict[int, list[str]], df: dict[str, int], share: float = SHARE) -> list[tuple[int, str, int, int, int]]:
     """(item_id, term, offset, n, need) of the rarest positions of each item; need of them must be met."""
     out = []
     for item, ws in texts.items():
         n = len(ws)
         need = max(1, ceil(MET * n))
-        k = min(n, floor((1 - share) * n) + need)
-        need = k - floor((1 - share) * n)
+        lacking = n - least_of(share, n)
+        k = min(n, lacking + need)
+        need = k - lacking
         rarest = sorted(range(n), key=lambda i: (df.get(ws[i], 0), ws[i], i))[:k]
         out += [(item, ws[i], i, n, need) for i in rarest]
     return out
@@ -145,7 +152,7 @@ def leaked_spans(documents: DataFrame, items: DataFrame, share: float = SHARE, s
                     if not aligned(at, offsets_of[item], len(ws), need_of[item]):
                         continue
                     hits = sorted((p, w) for w in {*ws} for p in at.get(w, ()))
-                    matched, first, last = longest_in_order(ws, hits, ceil(span * len(ws)), ceil(share * len(ws)))
+                    matched, first, last = longest_in_order(ws, hits, ceil(span * len(ws)), least_of(share, len(ws)))
                     if matched:
                         exact = matched == len(ws) == last - first + 1
                         out.append((doc, item, matched, len(ws), round(matched / len(ws), 4), first, last, "phrase" if exact else "proximity"))
