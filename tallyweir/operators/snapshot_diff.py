@@ -19,15 +19,19 @@ def _blanks(c):
     return F.lower(F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", " "), "^ | $", ""))
 
 
-def canonical_snapshots(company: DataFrame, sweeps: DataFrame) -> DataFrame:
-    """pair (position of the snapshot), snapshot_date, id, name, cr_number, industry, misses: the live rows of finished snapshots."""
-    company = company.select("snapshot_date", "loaded_at", "id", "name", "cr_number", "industry", "misses", "gone_at")
+def numbered_snapshots(company: DataFrame, sweeps: DataFrame) -> DataFrame:
+    """pos, snapshot_date of the finished snapshots, also of those without a live row."""
     finished = sweeps.where("finished").select("sweep_date").distinct()
     dates = company.select(F.col("snapshot_date").alias("sweep_date")).distinct().join(finished, "sweep_date", "left_semi")
-    numbered = dates.groupBy().agg(F.array_sort(F.collect_list("sweep_date")).alias("s")).select(F.posexplode("s").alias("pos", "snapshot_date"))
-    rows = company.join(small_side(numbered), "snapshot_date").select("pos", "snapshot_date", canonical_id(F.col("id")).alias("id"), F.struct("loaded_at", F.col("gone_at").isNull().alias("live"), _blanks(F.col("name")).alias("name"), F.nullif("cr_number", F.lit("")).alias("cr_number"), "industry", "misses").alias("r"))
-    latest = rows.where("id <> ''").groupBy("pos", "snapshot_date", "id").agg(F.max("r").alias("r")).where("r.live")
-    return latest.select("pos", "snapshot_date", "id", "r.name", "r.cr_number", "r.industry", "r.misses")
+    return dates.groupBy().agg(F.array_sort(F.collect_list("sweep_date")).alias("s")).select(F.posexplode("s").alias("pos", "snapshot_date"))
+
+
+def canonical_snapshots(company: DataFrame, numbered: DataFrame) -> DataFrame:
+    """pos (of the snapshot in numbered), id, name, cr_number, industry, misses: the live rows."""
+    company = company.select("snapshot_date", "loaded_at", "id", "name", "cr_number", "industry", "misses", "gone_at")
+    rows = company.join(small_side(numbered), "snapshot_date").select("pos", canonical_id(F.col("id")).alias("id"), F.struct("loaded_at", F.col("gone_at").isNull().alias("live"), _blanks(F.col("name")).alias("name"), F.nullif("cr_number", F.lit("")).alias("cr_number"), "industry", "misses").alias("r"))
+    latest = rows.where("id <> ''").groupBy("pos", "id").agg(F.max("r").alias("r")).where("r.live")
+    return latest.select("pos", "id", "r.name", "r.cr_number", "r.industry", "r.misses")
 
 
 def differing_leaves(rows: DataFrame, last: int, depth: int, bits: int) -> DataFrame:
@@ -52,13 +56,14 @@ def snapshot_changes(company: DataFrame, sweeps: DataFrame, depth: int = 3, bits
     equal to each other. Rows without id are left out; fewer than two snapshots give no rows.
     """
     fields = ["name", "cr_number", "industry", "misses"]
-    canonical = canonical_snapshots(company, sweeps)
+    numbered = cut(numbered_snapshots(company, sweeps))
+    canonical = canonical_snapshots(company, numbered)
     packed = F.to_json(F.struct("id", *fields))
     leaf = F.shiftrightunsigned(F.xxhash64("id"), 64 - depth * bits).cast("int") if depth else F.lit(0)
-    rows = cut(canonical.select("pos", "snapshot_date", "id", F.struct(*fields).alias("v"), leaf.alias("leaf"), F.xxhash64(packed).alias("h1"), F.xxhash64(F.lit(7), packed).alias("h2")))
-    last = rows.agg(F.max("pos")).first()[0] or 0
+    rows = cut(canonical.select("pos", "id", F.struct(*fields).alias("v"), leaf.alias("leaf"), F.xxhash64(packed).alias("h1"), F.xxhash64(F.lit(7), packed).alias("h2")))
+    last = numbered.agg(F.max("pos")).first()[0] or 0
     differ = differing_leaves(rows.select("pos", "leaf", "h1", "h2"), last, depth, bits)
-    dates = rows.select(F.col("pos").alias("pair"), "snapshot_date").distinct()
+    dates = numbered.select(F.col("pos").alias("pair"), "snapshot_date")
     sides = rows.select(F.explode(F.array(F.struct(F.col("pos").alias("pair"), F.lit(True).alias("now")), F.struct((F.col("pos") + 1).alias("pair"), F.lit(False).alias("now")))).alias("p"), "id", "leaf", "v")
     sides = sides.select("p.pair", "p.now", "id", "leaf", "v").where(F.col("pair").between(1, last)).join(differ, ["pair", "leaf"], "left_semi")
     both = sides.groupBy("pair", "id").agg(F.max(F.when(F.col("now"), F.col("v"))).alias("new"), F.max(F.when(~F.col("now"), F.col("v"))).alias("old"))
