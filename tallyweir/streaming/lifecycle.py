@@ -13,9 +13,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tallyweir.functions import text
 
 
-def append_once(stream: DataFrame, key: str, when: str, delay: str = "14 days") -> DataFrame:
-    """Insert-if-absent: the first row of each key within the watermark; state is dropped after the delay."""
-    return stream.withWatermark(when, delay).dropDuplicatesWithinWatermark([key])
+def append_once(stream: DataFrame, key: str, when: str | None = None) -> DataFrame:
+    """Insert-if-absent: one row of each key, the first that comes, however late; the keys are kept for good. ``when`` makes no difference."""
+    return stream.dropDuplicates([key])
 
 
 def seen_counts(stream: DataFrame, keys: list[str], when: str, delay: str = "14 days", every: str = "1 day") -> DataFrame:
