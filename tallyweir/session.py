@@ -1,14 +1,15 @@
-"""Session-level helpers: table reading, lineage cuts and size-checked broadcasts."""
+"""Session-level helpers: table reading, lineage cuts, scratch folders and size-checked broadcasts."""
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A side with at most this many rows may be broadcast by small_side().
-BROADCAST_ROWS = 20_000
+#: A side of at most this many rows and bytes may be broadcast by small_side().
+BROADCAST_ROWS, BROADCAST_BYTES = 20_000, 8_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,26 +17,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. Taken from the session; a local one is made only where none is set and the master is local."""
+    """The folder all executors share: spark.checkpoint.dir of the session. RuntimeError where none is set; none is made up."""
     sc = spark.sparkContext
-    at = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    at = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if at is None:
-        at = sc.getCheckpointDir()
-    if at is None:
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        at = tempfile.mkdtemp(prefix="tallyweir-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(at)
     return at
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of this session, on whatever file system it lies."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+_made: list[tuple[SparkSession, str]] = []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for a table that later steps of a query read; deleted when the driver's process ends, or by clean()."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
+@atexit.register
+def clean() -> None:
+    """Deletes all scratch tables made so far. Frames that read them can't be run again."""
+    while _made:
+        try:
+            remove(*_made.pop())
+        except Exception:  # the session or its JVM is gone already
+            continue
+
+
+def written(df: DataFrame, name: str, sort: list[str] | None = None, **options) -> DataFrame:
+    """df as a parquet table in the shared folder, sorted within its files: columns and row groups can be left out when it is read."""
+    spark, path = df.sparkSession, scratch(df.sparkSession, name)
+    (df.sortWithinPartitions(*sort) if sort else df).write.options(**options).mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cuts the lineage with a reliable checkpoint in the shared folder: rows read twice are computed once and outlive executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks df for broadcast if it has at most ``rows`` rows, counted first; else the join shuffles (AQE then splits skew)."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Marks df for broadcast if it has at most ``rows`` rows and ``size`` bytes as JSON, measured first; else the join shuffles (AQE then splits skew). df should be cheap to read twice: a cut or a small table."""
+    n, held = df.limit(rows + 1).agg(F.count("*"), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
+    return F.broadcast(df) if n <= rows and (held or 0) <= size else df
