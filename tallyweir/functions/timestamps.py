@@ -12,9 +12,12 @@ date is midnight UTC. An unknown zone name makes local texts unreadable.
 
 from __future__ import annotations
 
+import zoneinfo
 from dataclasses import dataclass
+from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import SparkContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEP = "\u0001"
@@ -91,9 +94,22 @@ def _ints(parts: Column, month_first: Column) -> Column:
     )
 
 
-def known_zones(spark: SparkSession) -> list[str]:
-    """The zone names this JVM knows (a fixed list of about 600)."""
-    return sorted(spark.sparkContext._jvm.java.time.ZoneId.getAvailableZoneIds())
+@cache
+def known_zones(gateway: object) -> str:
+    """The zone names that the JVM behind ``gateway`` knows (a fixed list of about 600), as a list of SQL literals."""
+    names = gateway.jvm.java.time.ZoneId.getAvailableZoneIds() if gateway is not None else zoneinfo.available_timezones() - {"Factory", "ROC", "localtime"}
+    return ", ".join(f"'{z}'" for z in sorted(names))
+
+
+@cache
+def _checked(gateway: object) -> Column:
+    """_ints over the columns that normalise() names; built once for a JVM, as hundreds of calls make it up."""
+    return _ints(F.col("__parts"), F.col("__month_first"))
+
+
+@cache
+def _at(gateway: object, local: bool) -> Column:
+    return _instant(F.col("__v"), local, F.col("__zone"))
 
 
 def _instant(v: Column, local: bool, zone: Column) -> Column:
@@ -110,20 +126,23 @@ def _instant(v: Column, local: bool, zone: Column) -> Column:
 
 def normalise(df: DataFrame, candidates: list[Candidate], out: str = "utc_ms", tz: Column | None = None, default_tz: str = "UTC") -> DataFrame:
     """Adds ``out``: the first readable of the candidates as UTC milliseconds. Rows and other columns stay as they are."""
-    said = F.trim(tz) if tz is not None else F.lit("")
-    zones = known_zones(df.sparkSession) if any(c.local for c in candidates) else []
-    zone = F.when(F.coalesce(said, F.lit("")) == "", F.lit(default_tz)).when(said.isin(zones) | said.rlike(r"^[+-](0\d|1[0-7]):[0-5]\d$"), said)
-    keep = df.columns
+    keep, gateway = df.columns, SparkContext._gateway
     kept = lambda d, *more: d.select(*(F.col(f"`{c}`") for c in keep), *more)
-    df, found = df.withColumn("__zone", zone), None
+    if any(c.local for c in candidates):
+        # One parsed list in place of hundreds of columns; the optimiser makes a hash set of it.
+        df = kept(df, (F.trim(tz) if tz is not None else F.lit("")).alias("__tz"))
+        zone = F.expr(f"CASE WHEN coalesce(__tz, '') = '' THEN '{default_tz}' WHEN __tz IN ({known_zones(gateway)}) OR __tz RLIKE '^[+-](0[0-9]|1[0-7]):[0-5][0-9]$' THEN __tz END")
+    else:
+        zone = F.lit(default_tz)
+    df, found = kept(df, zone.alias("__zone")), None
     done = [F.col("__zone")]
     for c in candidates:
         text = F.col(f"`{c.column}`").cast("string")
         text = text if found is None else F.when(found.isNull(), text)
         step = [*done] if found is None else [*done, F.col("__ms")]
-        df = kept(df, *step, components(text).alias("__parts"))
-        df = kept(df, *step, _ints(F.col("__parts"), c.month_first if c.month_first is not None else F.lit(False)).alias("__v"))
-        at = _instant(F.col("__v"), c.local, F.col("__zone"))
+        df = kept(df, *step, components(text).alias("__parts"), (c.month_first if c.month_first is not None else F.lit(False)).alias("__month_first"))
+        df = kept(df, *step, _checked(gateway).alias("__v"))
+        at = _at(gateway, c.local)
         df = kept(df, *done, (at if found is None else F.coalesce(F.col("__ms"), at)).alias("__ms"))
         found = F.col("__ms")
     # Without the condition that looks as if it could change, Catalyst would copy these expressions into any later filter.
