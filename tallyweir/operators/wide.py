@@ -1,19 +1,22 @@
 """Attribute rows into one typed row per entity, by column-block pivoting.
 
-The attributes are divided into blocks. Each block reads only its own attributes and pivots them with map-side
-pre-aggregation over the same hash partitioning of the entity, so the wide blocks join where they lie: every row is
-shuffled once, already aggregated, however many blocks there are.
+The input is read once. Its rows are reduced to one cell per (entity, attribute), the latest, with map-side combine, so
+that a hot entity is spread over its attributes; only then the cells are laid out by entity. The attributes are divided
+into blocks; the cells stand in one table, a partition per block, all with the same buckets of the entity. Each block is
+read and pivoted alone, and the blocks are joined from a spine of the entities where they lie: after the layout no row is
+shuffled again, however many blocks there are.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweir.functions.timestamps import ascii_digits
+from tallyweir.session import scratch
 
 BLANK = "(?U)^\\s+|\\s+$"
 #: fixed values: the option numbers of the certificate status
@@ -68,30 +71,50 @@ def typed(text: Column, a: Attribute) -> Column:
     return F.round(number.try_cast("double") * a.scale).cast("bigint")
 
 
-def widen(rows: DataFrame, entity: str, read_at: str, name: str, values: list[str], attributes: list[Attribute], block_size: int = 64) -> DataFrame:
+def _cells(rows: DataFrame, entity: str, read_at: str, name: str, values: list[str], attributes: list[Attribute], block_size: int) -> DataFrame:
+    """e, n, block, t (the entity's latest read of n), x (the greatest value of that read). Rows of no wanted attribute stand as n = '' in block -1: they tell when the entity was last read."""
+    named = F.lower(F.regexp_replace(F.col(f"`{name}`"), BLANK, ""))
+    block_of = text_map({a.name: i // block_size for i, a in enumerate(attributes)})
+    base = rows.where(F.col(f"`{entity}`").isNotNull()).select(F.col(f"`{entity}`").alias("e"), F.col(f"`{read_at}`").alias("t"), named.alias("n"), *(F.col(f"`{v}`").alias(f"v{i}") for i, v in enumerate(values)))
+    text = F.coalesce(*(label(F.col(f"v{i}")) for i in range(len(values))))
+    wanted = base.withColumn("block", F.coalesce(block_of[F.col("n")], F.lit(-1)))
+    own = F.col("block") >= 0
+    cells = wanted.select("e", F.when(own, F.col("n")).otherwise("").alias("n"), "block", "t", F.when(own, text).alias("x"))
+    return cells.groupBy("e", "block", "n").agg(F.max(F.struct("t", "x")).alias("c")).select("e", "n", "block", "c.t", "c.x")
+
+
+def text_map(d: dict[str, int]) -> Column:
+    """A constant map; written as one literal, so that thousands of names are planned at once."""
+    return F.from_json(F.lit(json.dumps(d, ensure_ascii=False)), "map<string,int>") if d else F.lit(None).cast("map<string,int>")
+
+
+def widen(rows: DataFrame, entity: str, read_at: str, name: str, values: list[str], attributes: list[Attribute], block_size: int = 64, buckets: int | None = None) -> DataFrame:
     """One row per entity with a typed column per attribute, from the entity's latest ``read_at`` alone.
 
     Names compare without case and outer blanks; of ``values`` the first that is neither null nor blank counts; of a
     repeated attribute in the latest read the greatest non-blank one. Absent, blank or unreadable gives '' for text and -1
     for numbers. A null read_at is older than any other. Rows without entity are left out; an entity whose rows hold none
-    of the attributes still gets its row.
+    of the attributes still gets its row. Empty tables give no rows; other columns are ignored. With more than one block
+    the cells are written once, in ``buckets`` buckets (spark.sql.shuffle.partitions by default).
     """
+    spark = rows.sparkSession
     blocks = [attributes[i : i + block_size] for i in range(0, len(attributes), block_size)]
-    named = F.lower(F.regexp_replace(F.col(f"`{name}`"), BLANK, ""))
-    base = rows.where(F.col(f"`{entity}`").isNotNull()).select(F.col(f"`{entity}`").alias("__e"), F.col(f"`{read_at}`").alias("__t"), named.alias("__n"), *(F.col(f"`{v}`").alias(f"__v{i}") for i, v in enumerate(values)))
-    text = F.coalesce(*(label(F.col(f"__v{i}")) for i in range(len(values))))
-    wide = []
-    for b, block in enumerate(blocks):
-        own = F.col("__n").isin([a.name for a in block])
-        if b == 0:  # also takes what no block wants: such rows tell when the entity was last read
-            own = own | F.col("__n").isNull() | ~F.col("__n").isin([a.name for a in attributes])
-        picked = base.where(own).select("__e", "__t", "__n", F.when(F.col("__n").isin([a.name for a in block]), text).alias("__x"))
-        wide.append(picked.groupBy("__e").agg(F.max("__t").alias(f"__t{b}"), *(F.max(F.when((F.col("__n") == a.name) & F.col("__x").isNotNull(), F.struct("__t", "__x"))).alias(f"__a{b}_{i}") for i, a in enumerate(block))))
-    joined = reduce(lambda x, y: x.join(y, "__e", "full"), wide)
-    times = [F.col(f"__t{b}") for b in range(len(blocks))]
-    last = F.greatest(*times) if len(times) > 1 else times[0]
-    cell = lambda b, i, a: F.coalesce(typed(F.when(F.col(f"__a{b}_{i}.__t").eqNullSafe(F.col("__last")), F.col(f"__a{b}_{i}.__x")), a), a.default).alias(a.out)
-    return joined.withColumn("__last", last).select(F.col("__e").alias(entity), *(cell(b, i, a) for b, block in enumerate(blocks) for i, a in enumerate(block)))
+    cells = _cells(rows, entity, read_at, name, values, attributes, block_size)
+    if len(blocks) > 1:
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        path = scratch(spark, "cells")
+        at = "cells_" + path.rsplit("-", 1)[1]
+        cells.repartition(n, "e").write.partitionBy("block").bucketBy(n, "e").sortBy("e").option("path", path).saveAsTable(at)
+        cells = spark.table(at)
+    else:
+        cells = cells.repartition("e")  # the one block and the spine are one pivot
+    pick = lambda a: F.max(F.when(F.col("n") == a.name, F.struct("t", "x"))).alias(a.out)
+    spine = cells.groupBy("e").agg(F.max("t").alias("__last"), *(pick(a) for a in attributes if len(blocks) == 1))
+    wide = spine
+    for b, block in enumerate(blocks if len(blocks) > 1 else []):
+        wide = wide.join(cells.where(F.col("block") == b).groupBy("e").agg(*map(pick, block)), "e", "left")
+    cell = lambda a: F.coalesce(typed(F.when(F.col(f"`{a.out}`.t").eqNullSafe(F.col("__last")), F.col(f"`{a.out}`.x")), a), a.default).alias(a.out)
+    return wide.select(F.col("e").alias(entity), *map(cell, attributes))
 
 
 def account_rows(attributes: DataFrame, block_size: int = 64) -> DataFrame:
