@@ -14,7 +14,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweir.session import small_side
+from tallyweir.session import cut, small_side
 
 BLANK = "(?U)^\\s+|\\s+$"
 
@@ -81,11 +81,12 @@ def status_periods(readings: DataFrame, sweeps: DataFrame, tile_bits: int = 6) -
     """
     rows = readings.select(canonical_id(F.col("id")).alias("id"), "sweep_date", F.struct("read_at", canonical_value(F.col("status")).alias("status"), canonical_value(F.col("certificate_no")).alias("certificate_no")).alias("r")).where("id <> '' and sweep_date is not null")
     rows = rows.groupBy("id", "sweep_date").agg(F.max("r").alias("r"))
-    days = calendar(sweeps, readings.select("sweep_date"))
+    days = cut(calendar(sweeps, readings.select("sweep_date")))  # one row per sweep, read thrice
     snapshots = days.count()
     units = rows.join(small_side(days), "sweep_date").select("id", "pos", F.col("sweep_date").alias("from_date"), "gone_pos", "gone_date", F.struct("r.status", "r.certificate_no").alias("payload"))
     runs = coalesce_runs(units, "id", snapshots, tile_bits)
-    out = runs.select("id", F.posexplode("runs").alias("i", "run"), F.col("runs"))
-    after = F.get("runs", F.col("i") + 1)
-    gone = F.col("run.gone_pos").isNotNull() & (after.isNull() | (after["first"] > F.col("run.gone_pos")))
-    return out.select("id", F.col("run.from_date").alias("from_date"), F.when(gone, F.col("run.gone_date")).when(after.isNotNull(), after["from_date"]).otherwise("").alias("to_date"))
+    # Each run meets its neighbour inside the array: what is exploded are finished periods, not copies of the array.
+    gone = lambda run, after: run["gone_pos"].isNotNull() & (after.isNull() | (after["first"] > run["gone_pos"]))
+    ends = lambda run, after: F.when(gone(run, after), run["gone_date"]).when(after.isNotNull(), after["from_date"]).otherwise("")
+    zipped = F.transform("runs", lambda run, i: F.struct(run["from_date"].alias("from_date"), ends(run, F.get("runs", i + 1)).alias("to_date")))
+    return runs.select("id", F.explode(zipped).alias("p")).select("id", "p.from_date", "p.to_date")
