@@ -4,13 +4,15 @@ The input is read once. Its rows are reduced to one cell per (entity, attribute)
 that a hot entity is spread over its attributes; only then the cells are laid out by entity. The attributes are divided
 into blocks; the cells stand in one table, a partition per block, all with the same buckets of the entity. Each block is
 read and pivoted alone, and the blocks are joined from a spine of the entities where they lie: after the layout no row is
-shuffled again, however many blocks there are.
+shuffled again, however many blocks there are. Beyond JOINED blocks they are joined in groups, so that the memory of a task
+does not grow with the blocks.
 """
 
 from __future__ import annotations
 
 import json
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ from tallyweir.session import scratch
 BLANK = "(?U)^\\s+|\\s+$"
 #: fixed values: the option numbers of the certificate status
 STATUS_CODES = {"valid": 100000002, "expired": 100000003, "under review": 100000005, "suspended": 100000007, "withdrawn": 100000009}
+#: blocks joined in one stage at most; more are joined in groups, each laid out in the same buckets
+JOINED = 8
 YES, NO = ["true", "1", "yes", "نعم"], ["false", "0", "no", "لا"]
 
 
@@ -100,23 +104,30 @@ def widen(rows: DataFrame, entity: str, read_at: str, name: str, values: list[st
     spark = rows.sparkSession
     blocks = [attributes[i : i + block_size] for i in range(0, len(attributes), block_size)]
     cells = _cells(rows, entity, read_at, name, values, attributes, block_size)
-    if len(blocks) > 1:
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        path = scratch(spark, "cells")
-        at = "cells_" + path.rsplit("-", 1)[1]
-        cells.repartition(n, "e").write.partitionBy("block").bucketBy(n, "e").sortBy("e").option("path", path).saveAsTable(at)
-        cells = spark.table(at)
-    else:
-        cells = cells.repartition("e")  # the one block and the spine are one pivot
     pick = lambda a: F.max(F.when(F.col("n") == a.name, F.struct("t", "x"))).alias(a.out)
-    spine = cells.groupBy("e").agg(F.max("t").alias("__last"), *(pick(a) for a in attributes if len(blocks) == 1))
-    wide = spine
-    for b, block in enumerate(blocks if len(blocks) > 1 else []):
-        wide = wide.join(cells.where(F.col("block") == b).groupBy("e").agg(*map(pick, block)), "e", "left")
+    if len(blocks) <= 1:  # the one block and the spine are one pivot
+        wide = cells.repartition("e").groupBy("e").agg(F.max("t").alias("__last"), *map(pick, attributes))
+    else:
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        cells = laid_out(cells.repartition(n, "e"), n, ["block"])
+        frames = [cells.where(F.col("block") == b).groupBy("e").agg(*map(pick, block)) for b, block in enumerate(blocks)]
+        names = cells.groupBy("e").agg(F.max("t").alias("__last"))
+        joined = lambda fs: reduce(lambda x, y: x.join(y, "e", "left"), fs, names)
+        while len(frames) > JOINED:  # a task sorts every block it joins, so it joins a bounded number at once
+            frames = [laid_out(joined(frames[i : i + JOINED]).drop("__last"), n) for i in range(0, len(frames), JOINED)]
+        wide = joined(frames)
     cell = lambda a: F.coalesce(typed(F.when(F.col(f"`{a.out}`.t").eqNullSafe(F.col("__last")), F.col(f"`{a.out}`.x")), a), a.default).alias(a.out)
     return wide.select(F.col("e").alias(entity), *map(cell, attributes))
 
 
+def laid_out(df: DataFrame, buckets: int, parts: list[str] = []) -> DataFrame:
+    """df, which is partitioned by e, as a table in the shared folder with that many buckets of e."""
+    path = scratch(df.sparkSession, "cells")
+    at = "cells_" + path.rsplit("-", 1)[1]
+    df.write.partitionBy(*parts).bucketBy(buckets, "e").sortBy("e").option("path", path).saveAsTable(at)
+    return df.sparkSession.table(at)
+
+
 def account_rows(attributes: DataFrame, block_size: int = 64) -> DataFrame:
     """The typed row of each account record."""
     return widen(attributes.where("entity_name = 'account'"), "record_id", "read_at", "attr_name", ["attr_value", "display_value", "formatted_value"], ACCOUNT, block_size)
