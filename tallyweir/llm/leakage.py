@@ -1,69 +1,133 @@
 """Passages of held-out items inside a corpus, by a distributed positional inverted index.
 
-The corpus is indexed once: a posting is (term, doc_id, positions), kept by shards of documents and sorted by term inside a
-shard, so that a hot term is spread over all shards, and reading some terms skips the rest. Postings are stored for the
-terms that any item holds. Items are then sought from their rarest terms: if a text holds at least ``share`` of an item's
-n words, it holds at least ``k - floor((1 - share) n)`` of any k of them, so the lists of the rarest k positions are
-intersected: by document, then after adjusting them by the item's offsets, with a drift of n. What is left is checked against all the item's
-postings in those documents: an exact phrase, or a longest common subsequence inside a window.
+The index holds all words of the corpus and is built once, whatever is sought later. Each task inverts its documents in
+blocks: a row is a term, the documents of the block that hold it and its positions in each. Rows are laid out by a hash of
+the term, sorted by term, hot terms over several tasks; the count of documents of each term is written beside them. Items
+are sought from their rarest terms: if a text holds at least ``share`` of an item's n words, it holds at least
+``k - floor((1 - share) n)`` of any k of them, so the lists of the rarest k positions are intersected: first by document,
+then after adjusting them by the item's offsets, with a drift of n. Only documents that pass both are gathered with all of
+the item's lists and checked: an exact phrase, or a longest common subsequence inside a window.
 """
 
 from __future__ import annotations
 
-import uuid
+import zlib
 from collections.abc import Iterator
 from fractions import Fraction
 from math import ceil
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweir.llm.words import words
-from tallyweir.session import shared_dir, small_side
+from tallyweir.session import cut, scratch, small_side
 
 SHARE, SPAN = 0.55, 1.5
 #: of an item's words, the part that must be met among its rarest ones before a document is looked into
 MET = 0.2
-#: the most words all items together may hold to be sought in one run; larger sets are to be given in parts
-MOST_ITEM_WORDS = 5_000_000
-INDEX_SCHEMA = "term string, doc_id bigint, positions array<int>"
+#: bytes of item words sought at once; a larger set is sought in parts, each against the same index
+ITEM_BYTES = 16_000_000
+#: terms, or terms of items, that are broadcast to the readers of the index; more are joined by a shuffle
+BROADCAST_TERMS = 200_000
+#: documents and words that a task inverts at once
+BLOCK_TEXTS, BLOCK_WORDS = 4_000, 1_000_000
+POSTINGS = "bucket int, term string, n int, docs array<bigint>, tags array<int>, positions array<array<int>>"
 
 
-def item_words(items: DataFrame) -> dict[int, list[str]]:
-    """The words of each item with any; of items that share an id the texts are one after the other. The evaluation set is the query; its size is checked."""
-    found: dict[int, list[str]] = {}
+def item_parts(items: DataFrame, size: int = ITEM_BYTES) -> Iterator[dict[int, list[str]]]:
+    """The words of each item with any, in parts of about ``size`` bytes; of items that share an id the texts are one after the other."""
+    part: dict[int, list[str]] = {}
+    own: dict[str, str] = {}
+    held, last = 0, None
     for row in items.select("item_id", F.col("text").cast("string").alias("text")).where("item_id is not null").distinct().orderBy("item_id", "text").toLocalIterator():
-        found.setdefault(row["item_id"], []).extend(words(row["text"]))
-        if sum(map(len, found.values())) > MOST_ITEM_WORDS:
-            raise ValueError(f"the items hold more than {MOST_ITEM_WORDS} words; give them in parts")
-    return {k: v for k, v in found.items() if v}
+        ws = words(row["text"])
+        if held > size and row["item_id"] != last:
+            yield part
+            part, own, held = {}, {}, 0
+        last = row["item_id"]
+        if ws:
+            part.setdefault(last, []).extend(own.setdefault(w, w) for w in ws)
+            held += sum(map(len, ws)) + 8 * len(ws)
+    if part:
+        yield part
+
+
+def item_words(items: DataFrame) -> dict[int, list[str]]:
+    """The words of each item with any."""
+    return {k: v for part in item_parts(items) for k, v in part.items()}
+
+
+def bucket_of(term: str, buckets: int) -> int:
+    return zlib.crc32(term.encode("utf-8", "surrogatepass")) % buckets
+
+
+def inverted(texts: list[list[str]], docs: list[int], tags: list[int], keep: set[str] | None, buckets: int) -> pa.RecordBatch:
+    """A block of tokenised documents as posting rows in the order of POSTINGS: one row per term."""
+    vocabulary: dict[str, int] = {}
+    ids = [np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in ws), np.int64, len(ws)) for ws in texts]
+    sizes = np.array([len(ws) for ws in texts], dtype=np.int64)
+    term, doc = np.concatenate(ids), np.repeat(np.arange(len(texts)), sizes)
+    position = np.arange(len(term)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    if keep is not None:
+        wanted = np.array([w in keep for w in vocabulary])[term]
+        term, doc, position = term[wanted], doc[wanted], position[wanted]
+    order = np.argsort(term, kind="stable")
+    term, doc, position = term[order], doc[order], position[order]
+    starts = np.flatnonzero(np.r_[True, (np.diff(term) != 0) | (np.diff(doc) != 0)][: len(term)])  # of each (term, document)
+    heads = np.flatnonzero(np.r_[True, np.diff(term[starts]) != 0][: len(starts)])  # of each term
+    names = np.array([*vocabulary], dtype=object)[term[starts[heads]]]
+    by_term = pa.array(np.r_[heads, len(starts)], pa.int32())
+    lists = lambda values: pa.ListArray.from_arrays(by_term, values)
+    columns = [
+        pa.array([bucket_of(w, buckets) for w in names], pa.int32()), pa.array(names, pa.string()), pa.array(np.diff(np.r_[heads, len(starts)]), pa.int32()),
+        lists(pa.array(np.array(docs, dtype=np.int64)[doc[starts]], pa.int64())), lists(pa.array(np.array(tags, dtype=np.int32)[doc[starts]], pa.int32())),
+        lists(pa.ListArray.from_arrays(pa.array(np.r_[starts, len(term)], pa.int32()), pa.array(position, pa.int32()))),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", "term", "n", "docs", "tags", "positions"])
+
 
+def build_index(documents: DataFrame, terms: set[str] | None, path: str, buckets: int | None = None) -> DataFrame:
+    """Writes the positional index of documents (doc_id, text) to path: postings, and the documents of each term. terms: None for all.
 
-def build_index(documents: DataFrame, terms: set[str] | None, path: str) -> DataFrame:
-    """Writes the positional index of documents (doc_id, text) to path and returns it: term, doc_id, positions. terms: None for all."""
-    wanted = documents.sparkSession.sparkContext.broadcast(terms)
+    Returns the postings one by one: term, doc_id, positions. buckets: of the terms, spark.sql.shuffle.partitions by default.
+    """
+    spark = documents.sparkSession
+    wanted, count = spark.sparkContext.broadcast(terms), buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def postings(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep = wanted.value
+        texts: list[list[str]] = []
+        docs: list[int] = []
+        tags: list[int] = []
+        held = 0
         for batch in it:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                t, d, p = [], [], []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    own: dict[str, list[int]] = {}
-                    for i, w in enumerate(words(text)):
-                        if keep is None or w in keep:
-                            own.setdefault(w, []).append(i)
-                    t.extend(own)
-                    d.extend([doc] * len(own))
-                    p.extend(own.values())
-                yield pa.RecordBatch.from_arrays([pa.array(t, pa.string()), pa.array(d, pa.int64()), pa.array(p, pa.list_(pa.int32()))], names=["term", "doc_id", "positions"])
-
-    rows = documents.where("doc_id is not null").select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(postings, INDEX_SCHEMA)
-    rows.sortWithinPartitions("term").write.mode("overwrite").parquet(path)
-    return documents.sparkSession.read.schema(INDEX_SCHEMA).parquet(path)
+            for doc, text, tag in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                ws = words(text)
+                if not ws:
+                    continue
+                texts.append(ws)
+                docs.append(doc)
+                tags.append(tag)
+                held += len(ws)
+                if len(texts) == BLOCK_TEXTS or held >= BLOCK_WORDS:
+                    yield inverted(texts, docs, tags, wanted.value, count)
+                    texts, docs, tags, held = [], [], [], 0
+        if texts:
+            yield inverted(texts, docs, tags, wanted.value, count)
+
+    rows = documents.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.hash("text").alias("tag")).mapInArrow(postings, POSTINGS)
+    # Rebalanced, not merely hashed: a bucket with hot terms is split over several tasks.
+    rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term").write.partitionBy("bucket").mode("overwrite").parquet(f"{path}/postings")
+    index = postings_of(spark, path)
+    index.groupBy("bucket", "term").agg(F.sum("n").alias("n")).sortWithinPartitions("bucket", "term").write.mode("overwrite").parquet(f"{path}/terms")
+    spark.createDataFrame([(count,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
+    return index.select("term", F.explode(F.arrays_zip("docs", "positions")).alias("p")).select("term", F.col("p.docs").alias("doc_id"), "p.positions")
+
+
+def postings_of(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(POSTINGS).parquet(f"{path}/postings")
 
 
 def least_of(share: float, n: int) -> int:
@@ -117,63 +181,86 @@ def longest_in_order(item: list[str], hits: list[tuple[int, str]], span: int, le
     return best
 
 
-def leaked_spans(documents: DataFrame, items: DataFrame, share: float = SHARE, span: float = SPAN) -> DataFrame:
+def leaked_spans(documents: DataFrame, items: DataFrame, share: float = SHARE, span: float = SPAN, index: str | None = None) -> DataFrame:
     """doc_id, item_id, matched, words, share, first_word, last_word, kind (phrase or proximity): the best place of each item in each document that holds at least ``share`` of its words in order within ``span`` times its length.
 
-    Null, empty and wordless texts hold and are nothing; the texts of a doc_id that comes twice are laid
-    over each other. Words compare as in words.fold. One row per document and item.
+    index: the path of an index of the documents that build_index() wrote, which is then searched as it is; else one is built.
+    Null, empty and wordless texts hold and are nothing; different texts of one doc_id stay apart, the best of them counts;
+    other columns are ignored. Words compare as in words.fold. One row per document and item.
     """
     spark = documents.sparkSession
-    texts = item_words(items)
-    terms = {w for ws in texts.values() for w in ws}
-    index = build_index(documents, terms, f"{shared_dir(spark)}/index-{uuid.uuid4().hex}")
-    df = {r["term"]: r["n"] for r in index.groupBy("term").agg(F.count("*").alias("n")).toLocalIterator()}  # at most the items' terms
-    sought = probes(texts, df, share)
-    probe = small_side(spark.createDataFrame([(i, t, n) for i, t, _, _, n in sought], "item_id bigint, term string, need int"))
-    # A shard holds all postings of its documents, so counting before the shuffle is already complete.
-    met = index.select("term", "doc_id").join(probe, "term").groupBy("doc_id", "item_id").agg(F.count("*").alias("met"), F.first("need").alias("need")).where("met >= need")
-    likely = met.groupBy("doc_id").agg(F.collect_list("item_id").alias("items"))  # bounded by the items
-    lists = index.join(likely.select("doc_id"), "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("term", "positions")).alias("lists"))  # bounded by one text's words
-    offsets: dict[int, dict[str, list[int]]] = {}
-    for item, term, offset, _, _ in sought:
-        offsets.setdefault(item, {}).setdefault(term, []).append(offset)
-    known = spark.sparkContext.broadcast((texts, offsets, {i: n for i, _, _, _, n in sought}))
+    if index is None:
+        index = scratch(spark, "index")
+        build_index(documents, None, index)
+    found = None
+    for part in item_parts(items):
+        own = search(spark, index, part, share, span)
+        found = own if found is None else found.unionByName(own)
+    return spark.createDataFrame([], SPAN_COLUMNS) if found is None else found
+
+
+def search(spark: SparkSession, path: str, texts: dict[int, list[str]], share: float = SHARE, span: float = SPAN) -> DataFrame:
+    """The spans of the items (item_id: words) in the index at path."""
+    buckets = spark.read.parquet(f"{path}/layout").first()["buckets"]
+    terms = sorted({w for ws in texts.values() for w in ws})
+    frame = lambda columns, schema: spark.createDataFrame(pd.DataFrame(columns), schema)
+    placed = lambda ws: {"bucket": [bucket_of(w, buckets) for w in ws], "term": ws}
+    bounded = lambda d, n: F.broadcast(d) if n <= BROADCAST_TERMS else d
+    held = bounded(frame(placed(terms), "bucket int, term string"), len(terms))
+    at = [*{bucket_of(w, buckets) for w in terms}]  # the partitions that are read
+    counts = spark.read.parquet(f"{path}/terms").where(F.col("bucket").isin(at)).join(held, ["bucket", "term"], "left_semi")
+    df = {r["term"]: r["n"] for r in counts.select("term", "n").toLocalIterator()}  # at most the items' terms
+    offsets: dict[tuple[int, str], list[int]] = {}
+    size: dict[int, tuple[int, int]] = {}
+    for item, term, offset, n, need in probes(texts, df, share):
+        if term in df:
+            offsets.setdefault((item, term), []).append(offset)
+        size[item] = (n, need)
+    sought = {**placed([t for _, t in offsets]), "item_id": [i for i, _ in offsets], "n": [size[i][0] for i, _ in offsets], "need": [size[i][1] for i, _ in offsets], "offsets": [*offsets.values()]}
+    if not offsets:
+        return spark.createDataFrame([], SPAN_COLUMNS)
+    probe = bounded(frame(sought, "bucket int, term string, item_id bigint, n int, need int, offsets array<int>"), len(offsets))
+    postings = postings_of(spark, path).drop("n")
+    rare = postings.where(F.col("bucket").isin([*{*sought["bucket"]}])).join(probe, ["bucket", "term"])
+    texts_of = ["doc_id", "tag"]  # a doc_id that comes with different texts is two texts
+    each = rare.select("item_id", "need", F.size("offsets").alias("own"), F.explode(F.arrays_zip("docs", "tags")).alias("p")).select("item_id", "need", "own", F.col("p.docs").alias("doc_id"), F.col("p.tags").alias("tag"))
+    met = each.groupBy(*texts_of, "item_id").agg(F.sum("own").alias("met"), F.first("need").alias("need")).where("met >= need")
+    likely = cut(met.select(*texts_of, "item_id"))
+    # The lists of those documents, adjusted by the item's offsets: places that differ by less than n meet in one of two windows.
+    placed_in = rare.select("item_id", "n", "need", "offsets", F.explode(F.arrays_zip("docs", "tags", "positions")).alias("p")).select("item_id", "n", "need", "offsets", F.col("p.docs").alias("doc_id"), F.col("p.tags").alias("tag"), F.col("p.positions").alias("positions"))
+    near = placed_in.join(small_side(likely, rows=200_000), [*texts_of, "item_id"], "left_semi")
+    window = lambda p, o: F.floor((p - o) / F.col("n"))
+    windows = F.array_distinct(F.flatten(F.transform("positions", lambda p: F.flatten(F.transform("offsets", lambda o: F.array(F.struct(window(p, o).alias("k"), o.alias("o")), F.struct((window(p, o) - 1).alias("k"), o.alias("o"))))))))
+    lined = near.select(*texts_of, "item_id", "need", F.explode(windows).alias("w")).groupBy(*texts_of, "item_id", "w.k").agg(F.count("*").alias("met"), F.first("need").alias("need")).where("met >= need")
+    aligned = cut(lined.groupBy(*texts_of).agg(F.array_sort(F.collect_set("item_id")).alias("items")))  # bounded by the items
+    lists = postings.where(F.col("bucket").isin(at)).join(held, ["bucket", "term"], "left_semi").select("term", F.explode(F.arrays_zip("docs", "tags", "positions")).alias("p"))
+    lists = lists.select("term", F.col("p.docs").alias("doc_id"), F.col("p.tags").alias("tag"), F.col("p.positions").alias("positions")).join(small_side(aligned.select(*texts_of), rows=200_000), texts_of, "left_semi")
+    lists = lists.groupBy(*texts_of).agg(F.collect_list(F.struct("term", "positions")).alias("lists"))  # bounded by one text's words
+    known = spark.sparkContext.broadcast(texts)
 
     def verified(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of, offsets_of, need_of = known.value
+        words_of = known.value
         for batch in it:
             out = []
             for doc, items, parts in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                at: dict[str, list[int]] = {}
+                where: dict[str, set[int]] = {}
                 for x in parts:
-                    at.setdefault(x["term"], []).extend(x["positions"])
+                    where.setdefault(x["term"], set()).update(x["positions"])
                 for item in items:
                     ws = words_of[item]
-                    if not aligned(at, offsets_of[item], len(ws), need_of[item]):
-                        continue
-                    hits = sorted((p, w) for w in {*ws} for p in at.get(w, ()))
+                    hits = sorted((p, w) for w in {*ws} for p in where.get(w, ()))
                     matched, first, last = longest_in_order(ws, hits, ceil(span * len(ws)), least_of(share, len(ws)))
                     if matched:
                         exact = matched == len(ws) == last - first + 1
                         out.append((doc, item, matched, len(ws), round(matched / len(ws), 4), first, last, "phrase" if exact else "proximity"))
-            frame = pd.DataFrame(out, columns=SPANS.names)
-            yield pa.RecordBatch.from_pandas(frame, schema=SPANS, preserve_index=False)
-
-    return likely.join(lists, "doc_id").select("doc_id", "items", "lists").mapInArrow(verified, "doc_id bigint, item_id bigint, matched int, words int, share double, first_word int, last_word int, kind string")
-
+            yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=SPANS.names), schema=SPANS, preserve_index=False)
 
-def aligned(at: dict[str, list[int]], offsets: dict[str, list[int]], n: int, need: int) -> bool:
-    """Whether ``need`` of the item's rare positions meet after adjusting the lists by their offsets, with a drift of n words."""
-    met: dict[int, set[int]] = {}
-    for term, own in offsets.items():
-        for p in at.get(term, ()):
-            for offset in own:
-                k = (p - offset) // n
-                met.setdefault(k, set()).add(offset)
-                met.setdefault(k - 1, set()).add(offset)
-    return any(len(x) >= need for x in met.values())
+    spans = aligned.join(lists, texts_of).select("doc_id", "items", "lists").mapInArrow(verified, SPAN_COLUMNS)
+    rest = [c for c in spans.columns if c not in ("doc_id", "item_id")]
+    return spans.groupBy("doc_id", "item_id").agg(F.max_by(F.struct(*rest), F.struct("matched", -F.col("first_word"))).alias("s")).select("doc_id", "item_id", "s.*")
 
 
+SPAN_COLUMNS = "doc_id bigint, item_id bigint, matched int, words int, share double, first_word int, last_word int, kind string"
 SPANS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("matched", pa.int32()), ("words", pa.int32()), ("share", pa.float64()), ("first_word", pa.int32()), ("last_word", pa.int32()), ("kind", pa.string())])
 
 
