@@ -8,6 +8,7 @@ by no more than it. Scores are taken only where the lengths allow the threshold.
 
 from __future__ import annotations
 
+from functools import reduce
 from math import floor
 
 import pandas as pd
@@ -99,15 +100,28 @@ def translit_pairs(queries: DataFrame, names: DataFrame, least: float) -> DataFr
     return scored.where(F.col("score") >= least).withColumn("score", F.round("score", 3))
 
 
+def numbered(rows: DataFrame, columns: list[str], out: str) -> DataFrame:
+    """The distinct values of columns with a number of their own; cut, so that the numbers stay. Nulls are values like others, and no two classes meet by chance."""
+    return cut(rows.select(*columns).distinct().withColumn(out, F.monotonically_increasing_id()))
+
+
+def members(rows: DataFrame, classes: DataFrame, columns: list[str], out: str) -> DataFrame:
+    """rows with the number of their class."""
+    said = classes.select(out, *(F.col(c).alias(f"__{c}") for c in columns))
+    same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in columns))
+    return rows.join(said, same).drop(*(f"__{c}" for c in columns))
+
+
 def match(left: DataFrame, right: DataFrame, left_key: list[str], right_key: list[str], left_names: list[str], right_names: list[str], fuzzy: float = FUZZY, translit: float = TRANSLIT, qfc: bool = False) -> DataFrame:
     """left_key, right_key, method, score, needs_review: of each pair with any evidence the best (method first, then score).
 
     left, right: their keys, names and cr_number. A threshold of 1 or more leaves its rung out. Null and empty names and
     numbers match nothing; repeated rows count once; a key whose rows differ is matched by any of them.
     """
-    l_rows = left.select(*left_key, *left_names, text.cr_root(F.col("cr_number"), qfc).alias("root")).distinct().withColumn("l", F.xxhash64("root", *left_names))
-    r_rows = right.select(*right_key, *right_names, text.cr_root(F.col("cr_number"), qfc).alias("root")).distinct().withColumn("r", F.xxhash64("root", *right_names))
-    l_class, r_class = l_rows.select("l", "root", *left_names).distinct(), r_rows.select("r", "root", *right_names).distinct()
+    l_rows = left.select(*left_key, *left_names, text.cr_root(F.col("cr_number"), qfc).alias("root")).distinct()
+    r_rows = right.select(*right_key, *right_names, text.cr_root(F.col("cr_number"), qfc).alias("root")).distinct()
+    l_class, r_class = numbered(l_rows, ["root", *left_names], "l"), numbered(r_rows, ["root", *right_names], "r")
+    l_rows, r_rows = members(l_rows, l_class, ["root", *left_names], "l"), members(r_rows, r_class, ["root", *right_names], "r")
     q, n = cut(name_table(l_class, "l", left_names)), cut(name_table(r_class, "r", right_names))
     as_ = lambda d, method, score: d.select("l", "r", F.lit(METHODS.index(method)).alias("rank"), score.alias("score"))
     found = as_(l_class.select("l", "root").join(r_class.select("r", "root"), "root"), "cr", F.lit(1.0))
