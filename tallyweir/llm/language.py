@@ -15,6 +15,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +30,10 @@ _UNWRITTEN = re.compile("[" + "".join(map(re.escape, [c for c in map(chr, range(
 
 @dataclass(frozen=True)
 class Fit:
-    """per_label: different labelled texts of each language that the field is fitted on, at most; rounds: of relabelling; epochs and rate: of the gradient; bits: of the feature hash; chunk: words of a training sequence."""
+    """per_label: different labelled texts of each language that the field is fitted on, at most; most_chars: of such a text (longer ones are labelled, but not fitted on); rounds: of relabelling; epochs and rate: of the gradient; bits: of the feature hash; chunk: words of a training sequence."""
 
     per_label: int = 250
+    most_chars: int = 20_000
     rounds: int = 4
     epochs: int = 8
     rate: float = 0.4
@@ -212,14 +214,33 @@ def fit(sample: list[tuple[str, str]], how: Fit = Fit()) -> Field:
 
 
 def sample_of(documents: DataFrame, how: Fit) -> list[tuple[str, str]]:
-    """The bounded fitting sample: of each label the per_label different texts that a hash of their content puts first."""
-    rows = documents.select(F.col("text").cast("string").alias("text"), label_of(F.col("lang").cast("string")).alias("label")).where("label is not null and text rlike '\\\\p{L}'")
-    salted = rows.withColumn("h", F.xxhash64("text"))
-    # Copies count once: the hashes are made distinct and ranked alone, only the texts of those that come first are fetched.
-    hashes = salted.select("label", "h").distinct().withColumn("part", F.pmod("h", F.lit(64)))
-    near = hashes.withColumn("r", F.row_number().over(Window.partitionBy("label", "part").orderBy("h"))).where(F.col("r") <= how.per_label)
-    first = near.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("h"))).where(F.col("r") <= how.per_label).select("label", "h")
-    texts = salted.join(F.broadcast(first), ["label", "h"]).distinct()  # per_label hashes of each label at most
+    """The bounded fitting sample: of each label the per_label different texts of at most most_chars characters that a hash of their content puts first.
+
+    Labels are counted alone; of the hashes only those below a bound that the count sets (eight times what is asked for)
+    are made distinct and ranked, so hardly anything is shuffled; a label that copies leave short is ranked in full.
+    Texts are fetched last. The driver holds 7 x per_label texts, most_chars each at most.
+    """
+    spark = documents.sparkSession
+    rows = documents.select(F.col("text").cast("string").alias("text"), label_of(F.col("lang").cast("string")).alias("label")).where("label is not null")
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    salted = rows.where(F.col("text").rlike(r"\p{L}") & (F.length("text") <= how.most_chars)).withColumn("h", F.xxhash64("text"))
+
+    def ranked(parts: dict[str, float]) -> list[tuple[str, int]]:
+        """The first hashes of the labels, from the given parts of the range of hashes."""
+        below = reduce(lambda x, y: x | y, ((F.col("label") == label) & (F.col("h") <= int(part * 2**64) - 2**63 - (part >= 1)) for label, part in parts.items()), F.lit(False))
+        # Copies count once: the hashes are made distinct and ranked alone.
+        hashes = salted.where(below).select("label", "h").distinct()
+        first = hashes.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("h"))).where(F.col("r") <= how.per_label)
+        return [(r["label"], r["h"]) for r in first.select("label", "h").collect()]
+
+    parts = {label: min(1.0, 8 * how.per_label / n) for label, n in counts.items()}
+    first = ranked(parts)
+    found = Counter(label for label, _ in first)
+    short = {label: 1.0 for label, part in parts.items() if part < 1 and found[label] < how.per_label}
+    if short:
+        first = [x for x in first if x[0] not in short] + ranked(short)
+    chosen = spark.createDataFrame(first, "label string, h bigint")
+    texts = salted.join(F.broadcast(chosen), ["label", "h"]).distinct()  # per_label hashes of each label at most
     last = texts.withColumn("r", F.row_number().over(Window.partitionBy("label").orderBy("h", "text"))).where(F.col("r") <= how.per_label)
     return [(r["text"], r["label"]) for r in last.select("text", "label").orderBy("label", "text").collect()]
 
