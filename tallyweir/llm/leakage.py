@@ -1,7 +1,8 @@
 """Passages of held-out items inside a corpus, by a distributed positional inverted index.
 
 The index holds all words of the corpus and is built once, whatever is sought later. Each task inverts its documents in
-blocks: a row is a term, the documents of the block that hold it and its positions in each. Rows are laid out by a hash of
+blocks: a row is a term, the documents of the block that hold it (by their number in the block) and its positions in each.
+Rows are laid out by a hash of
 the term, sorted by term, hot terms over several tasks; the count of documents of each term is written beside them. Items
 are sought from their rarest terms: if a text holds at least ``share`` of an item's n words, it holds at least
 ``k - floor((1 - share) n)`` of any k of them, so the lists of the rarest k positions are intersected: first by document,
@@ -19,7 +20,8 @@ from math import ceil
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyweir.llm.words import words
@@ -34,7 +36,8 @@ ITEM_BYTES = 16_000_000
 BROADCAST_TERMS = 200_000
 #: documents and words that a task inverts at once
 BLOCK_TEXTS, BLOCK_WORDS = 4_000, 1_000_000
-POSTINGS = "bucket int, term string, n int, docs array<bigint>, tags array<int>, positions array<array<int>>"
+#: a posting row; of document i the positions end at ends[i]. The row of a whole block has no term, and the documents' ids
+POSTINGS = "bucket int, term string, n int, block bigint, docs array<int>, ends array<int>, positions array<int>, ids array<bigint>"
 
 
 def item_parts(items: DataFrame, size: int = ITEM_BYTES) -> Iterator[dict[int, list[str]]]:
@@ -64,8 +67,8 @@ def bucket_of(term: str, buckets: int) -> int:
     return zlib.crc32(term.encode("utf-8", "surrogatepass")) % buckets
 
 
-def inverted(texts: list[list[str]], docs: list[int], tags: list[int], keep: set[str] | None, buckets: int) -> pa.RecordBatch:
-    """A block of tokenised documents as posting rows in the order of POSTINGS: one row per term."""
+def inverted(texts: list[list[str]], docs: list[int], block: int, keep: set[str] | None, buckets: int) -> pa.RecordBatch:
+    """A block of tokenised documents in the order of POSTINGS: one row per term, and the block's own in bucket -1."""
     vocabulary: dict[str, int] = {}
     ids = [np.fromiter((vocabulary.setdefault(w, len(vocabulary)) for w in ws), np.int64, len(ws)) for ws in texts]
     sizes = np.array([len(ws) for ws in texts], dtype=np.int64)
@@ -78,15 +81,16 @@ def inverted(texts: list[list[str]], docs: list[int], tags: list[int], keep: set
     term, doc, position = term[order], doc[order], position[order]
     starts = np.flatnonzero(np.r_[True, (np.diff(term) != 0) | (np.diff(doc) != 0)][: len(term)])  # of each (term, document)
     heads = np.flatnonzero(np.r_[True, np.diff(term[starts]) != 0][: len(starts)])  # of each term
-    names = np.array([*vocabulary], dtype=object)[term[starts[heads]]]
-    by_term = pa.array(np.r_[heads, len(starts)], pa.int32())
-    lists = lambda values: pa.ListArray.from_arrays(by_term, values)
+    first = np.r_[starts[heads], len(term)]  # of each term, among the positions
+    ends = np.r_[starts[1:], len(term)][: len(starts)] - np.repeat(first[:-1], np.diff(np.r_[heads, len(starts)]))
+    names = [*np.array([*vocabulary], dtype=object)[term[first[:-1]]]]
+    rows, by_term = len(names), np.r_[heads, len(starts), len(starts)]
+    lists = lambda offsets, values: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
     columns = [
-        pa.array([bucket_of(w, buckets) for w in names], pa.int32()), pa.array(names, pa.string()), pa.array(np.diff(np.r_[heads, len(starts)]), pa.int32()),
-        lists(pa.array(np.array(docs, dtype=np.int64)[doc[starts]], pa.int64())), lists(pa.array(np.array(tags, dtype=np.int32)[doc[starts]], pa.int32())),
-        lists(pa.ListArray.from_arrays(pa.array(np.r_[starts, len(term)], pa.int32()), pa.array(position, pa.int32()))),
+        pa.array([*(bucket_of(w, buckets) for w in names), -1], pa.int32()), pa.array([*names, None], pa.string()), pa.array(np.r_[np.diff(by_term[:-1]), len(docs)], pa.int32()), pa.array(np.full(rows + 1, block), pa.int64()),
+        lists(by_term, doc[starts]), lists(by_term, ends), lists(np.r_[first, len(term)], position), pa.array([None] * rows + [docs], pa.list_(pa.int64())),
     ]
-    return pa.RecordBatch.from_arrays(columns, names=["bucket", "term", "n", "docs", "tags", "positions"])
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", "term", "n", "block", "docs", "ends", "positions", "ids"])
 
 
 def build_index(documents: DataFrame, terms: set[str] | None, path: str, buckets: int | None = None) -> DataFrame:
@@ -100,30 +104,39 @@ def build_index(documents: DataFrame, terms: set[str] | None, path: str, buckets
     def postings(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts: list[list[str]] = []
         docs: list[int] = []
-        tags: list[int] = []
-        held = 0
+        held, block = 0, TaskContext.get().partitionId() << 32
         for batch in it:
-            for doc, text, tag in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ws = words(text)
                 if not ws:
                     continue
                 texts.append(ws)
                 docs.append(doc)
-                tags.append(tag)
                 held += len(ws)
                 if len(texts) == BLOCK_TEXTS or held >= BLOCK_WORDS:
-                    yield inverted(texts, docs, tags, wanted.value, count)
-                    texts, docs, tags, held = [], [], [], 0
+                    yield inverted(texts, docs, block, wanted.value, count)
+                    texts, docs, held, block = [], [], 0, block + 1
         if texts:
-            yield inverted(texts, docs, tags, wanted.value, count)
+            yield inverted(texts, docs, block, wanted.value, count)
 
-    rows = documents.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.hash("text").alias("tag")).mapInArrow(postings, POSTINGS)
+    rows = documents.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(postings, POSTINGS)
     # Rebalanced, not merely hashed: a bucket with hot terms is split over several tasks.
     rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term").write.partitionBy("bucket").mode("overwrite").parquet(f"{path}/postings")
     index = postings_of(spark, path)
-    index.groupBy("bucket", "term").agg(F.sum("n").alias("n")).sortWithinPartitions("bucket", "term").write.mode("overwrite").parquet(f"{path}/terms")
+    index.where("bucket >= 0").groupBy("bucket", "term").agg(F.sum("n").alias("n")).sortWithinPartitions("bucket", "term").write.mode("overwrite").parquet(f"{path}/terms")
     spark.createDataFrame([(count,)], "buckets int").coalesce(1).write.mode("overwrite").parquet(f"{path}/layout")
-    return index.select("term", F.explode(F.arrays_zip("docs", "positions")).alias("p")).select("term", F.col("p.docs").alias("doc_id"), "p.positions")
+    return with_ids(spark, path, index.where("bucket >= 0").select("term", "block", exploded())).select("term", "doc_id", "positions")
+
+
+def exploded() -> Column:
+    """struct(doc, positions) of each document of a posting row."""
+    start = lambda i: F.coalesce(F.get("ends", i - 1), F.lit(0))
+    return F.inline(F.transform("docs", lambda d, i: F.struct(d.alias("doc"), F.slice("positions", start(i) + 1, F.get("ends", i) - start(i)).alias("positions"))))
+
+
+def with_ids(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """rows (block, doc) with doc_id, from the rows of the blocks themselves."""
+    return rows.join(postings_of(spark, path).where("bucket = -1").select("block", "ids"), "block").withColumn("doc_id", F.get("ids", F.col("doc"))).drop("block", "doc", "ids")
 
 
 def postings_of(spark: SparkSession, path: str) -> DataFrame:
@@ -222,20 +235,17 @@ def search(spark: SparkSession, path: str, texts: dict[int, list[str]], share: f
     probe = bounded(frame(sought, "bucket int, term string, item_id bigint, n int, need int, offsets array<int>"), len(offsets))
     postings = postings_of(spark, path).drop("n")
     rare = postings.where(F.col("bucket").isin([*{*sought["bucket"]}])).join(probe, ["bucket", "term"])
-    texts_of = ["doc_id", "tag"]  # a doc_id that comes with different texts is two texts
-    each = rare.select("item_id", "need", F.size("offsets").alias("own"), F.explode(F.arrays_zip("docs", "tags")).alias("p")).select("item_id", "need", "own", F.col("p.docs").alias("doc_id"), F.col("p.tags").alias("tag"))
-    met = each.groupBy(*texts_of, "item_id").agg(F.sum("own").alias("met"), F.first("need").alias("need")).where("met >= need")
-    likely = cut(met.select(*texts_of, "item_id"))
+    text = ["block", "doc"]  # a doc_id that comes with different texts is two texts
+    met = rare.select("item_id", "need", F.size("offsets").alias("own"), "block", F.explode("docs").alias("doc")).groupBy(*text, "item_id").agg(F.sum("own").alias("met"), F.first("need").alias("need")).where("met >= need")
+    likely = cut(met.select(*text, "item_id"))
     # The lists of those documents, adjusted by the item's offsets: places that differ by less than n meet in one of two windows.
-    placed_in = rare.select("item_id", "n", "need", "offsets", F.explode(F.arrays_zip("docs", "tags", "positions")).alias("p")).select("item_id", "n", "need", "offsets", F.col("p.docs").alias("doc_id"), F.col("p.tags").alias("tag"), F.col("p.positions").alias("positions"))
-    near = placed_in.join(small_side(likely, rows=200_000), [*texts_of, "item_id"], "left_semi")
+    near = rare.select("item_id", "n", "need", "offsets", "block", exploded()).join(small_side(likely, rows=200_000), [*text, "item_id"], "left_semi")
     window = lambda p, o: F.floor((p - o) / F.col("n"))
     windows = F.array_distinct(F.flatten(F.transform("positions", lambda p: F.flatten(F.transform("offsets", lambda o: F.array(F.struct(window(p, o).alias("k"), o.alias("o")), F.struct((window(p, o) - 1).alias("k"), o.alias("o"))))))))
-    lined = near.select(*texts_of, "item_id", "need", F.explode(windows).alias("w")).groupBy(*texts_of, "item_id", "w.k").agg(F.count("*").alias("met"), F.first("need").alias("need")).where("met >= need")
-    aligned = cut(lined.groupBy(*texts_of).agg(F.array_sort(F.collect_set("item_id")).alias("items")))  # bounded by the items
-    lists = postings.where(F.col("bucket").isin(at)).join(held, ["bucket", "term"], "left_semi").select("term", F.explode(F.arrays_zip("docs", "tags", "positions")).alias("p"))
-    lists = lists.select("term", F.col("p.docs").alias("doc_id"), F.col("p.tags").alias("tag"), F.col("p.positions").alias("positions")).join(small_side(aligned.select(*texts_of), rows=200_000), texts_of, "left_semi")
-    lists = lists.groupBy(*texts_of).agg(F.collect_list(F.struct("term", "positions")).alias("lists"))  # bounded by one text's words
+    lined = near.select(*text, "item_id", "need", F.explode(windows).alias("w")).groupBy(*text, "item_id", "w.k").agg(F.count("*").alias("met"), F.first("need").alias("need")).where("met >= need")
+    aligned = cut(lined.groupBy(*text).agg(F.array_sort(F.collect_set("item_id")).alias("items")))  # bounded by the items
+    lists = postings.where(F.col("bucket").isin(at)).join(held, ["bucket", "term"], "left_semi").select("term", "block", exploded()).join(small_side(aligned.select(*text), rows=200_000), text, "left_semi")
+    lists = lists.groupBy(*text).agg(F.collect_list(F.struct("term", "positions")).alias("lists"))  # bounded by one text's words
     known = spark.sparkContext.broadcast(texts)
 
     def verified(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +265,7 @@ def search(spark: SparkSession, path: str, texts: dict[int, list[str]], share: f
                         out.append((doc, item, matched, len(ws), round(matched / len(ws), 4), first, last, "phrase" if exact else "proximity"))
             yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=SPANS.names), schema=SPANS, preserve_index=False)
 
-    spans = aligned.join(lists, texts_of).select("doc_id", "items", "lists").mapInArrow(verified, SPAN_COLUMNS)
+    spans = with_ids(spark, path, aligned.join(lists, text)).select("doc_id", "items", "lists").mapInArrow(verified, SPAN_COLUMNS)
     rest = [c for c in spans.columns if c not in ("doc_id", "item_id")]
     return spans.groupBy("doc_id", "item_id").agg(F.max_by(F.struct(*rest), F.struct("matched", -F.col("first_word"))).alias("s")).select("doc_id", "item_id", "s.*")
 

@@ -19,10 +19,11 @@ def test_words_are_those_of_the_folded_text(text):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(["a", "b", "ü", "w1"]), min_size=1, max_size=9), min_size=1, max_size=5))
 def test_a_block_holds_every_position(texts):
-    batch = leakage.inverted(texts, [*range(len(texts))], [0] * len(texts), None, 3)
-    found = {(r["term"], d): p for r in batch.to_pylist() for d, p in zip(r["docs"], r["positions"])}
+    *rows, block = leakage.inverted(texts, [*range(10, 10 + len(texts))], 7, None, 3).to_pylist()
+    found = {(r["term"], d): r["positions"][a:b] for r in rows for d, a, b in zip(r["docs"], [0, *r["ends"]], r["ends"])}
     expected = {(w, d): [i for i, x in enumerate(ws) if x == w] for d, ws in enumerate(texts) for w in ws}
-    assert found == expected and all(r["n"] == len(r["docs"]) and r["bucket"] == leakage.bucket_of(r["term"], 3) for r in batch.to_pylist())
+    assert found == expected and all(r["n"] == len(r["docs"]) and r["bucket"] == leakage.bucket_of(r["term"], 3) and r["ends"][-1] == len(r["positions"]) for r in rows)
+    assert block["ids"] == [*range(10, 10 + len(texts))] and block["bucket"] == -1 and {r["block"] for r in rows} == {7}
 
 
 def corpus(spark):
