@@ -16,8 +16,8 @@ ABBREVIATIONS = {
     "solns": "solutions", "med": "medical", "phar": "pharmacy", "rest": "restaurant", "cnt": "centre", "ctr": "centre", "center": "centre", "est": "establishment",
 }
 NOISE = [
-    r"\bref\s*[:#]?\s*\w+\b", r"\btrf\s+(?:from|to)\b", r"\btransfer\s+(?:from|to)\b", r"\bpayment\s+(?:from|to)\b", r"\binward\s+remittance\b", r"\boutward\s+remittance\b", r"\bsalary\b",
-    r"\bcheque\s*no\b", r"\bchq\b", r"\bvalue\s*date\b", r"\binv(?:oice)?\s*no\.?\s*\w+\b", r"\b\d{6,}\b", r"\bqa\d{2}[a-z0-9]{10,}\b",
+    r"\bref\s*[:#]?\s*\w+\b", r"\btrf\s+(from|to)\b", r"\btransfer\s+(from|to)\b", r"\bpayment\s+(from|to)\b", r"\binward\s+remittance\b", r"\boutward\s+remittance\b", r"\bsalary\b",
+    r"\bcheque\s*no\b", r"\bchq\b", r"\bvalue\s*date\b", r"\binv(oice)?\s*no\.?\s*\w+\b", r"\b\d{6,}\b", r"\bqa\d{2}[a-z0-9]{10,}\b",
 ]
 STOPWORDS = ["the", "of", "and", "for", "al", "el"]
 ARABIC_LETTER = "[ء-يٱ-ۓ]"
