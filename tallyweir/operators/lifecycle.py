@@ -5,7 +5,7 @@ Every fold is an aggregation with map-side combine or a join on the key; none de
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyweir.functions import text
 from tallyweir.operators.history import calendar
-from tallyweir.session import small_side
+from tallyweir.session import cut, small_side
 
 GONE_AFTER, LOOK_BACK_DAYS = 2, 14  # fixed values
 MOST_ATTEMPTS, MOST_MISSING = 5, 3  # fixed values
@@ -30,11 +30,12 @@ def page_changes(stored: DataFrame, fetched: DataFrame) -> DataFrame:
     return new.join(old, "url", "left").select("url", outcome.alias("outcome"), F.col("sha").alias("content_sha256"), F.coalesce("first_seen_at", "fetched_at").alias("first_seen_at"), "fetched_at")
 
 
-def upsert_fold(log: DataFrame, key: str, order: list[str], first_wins: tuple[str, ...] = (), always: tuple[str, ...] = ()) -> DataFrame:
-    """One row per key of a log of partial rows: of each column the latest value that is not null; of ``first_wins`` the earliest; of ``always`` the latest, null or not."""
+def upsert_fold(log: DataFrame, key: str, order: list[str], first_wins: tuple[str, ...] = (), always: tuple[str, ...] = (), forward: dict[str, Column] | None = None) -> DataFrame:
+    """One row per key of a log of partial rows: of each column the latest value that is not null; of ``first_wins`` the earliest; of ``always`` the latest, null or not; of ``forward`` (column: its rank) the latest of the greatest rank, as such a value never moves back."""
+    ahead = forward or {}
     at = F.struct(*order)
     rest = [c for c in log.columns if c != key]
-    pick = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*order, c))) if c in first_wins else F.max_by(c, at) if c in always else F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order, c)))
+    pick = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(ahead[c], *order, c))) if c in ahead else F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*order, c))) if c in first_wins else F.max_by(c, at) if c in always else F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order, c)))
     return log.where(F.col(key).isNotNull()).groupBy(key).agg(*(pick(c).alias(c) for c in rest))
 
 
@@ -66,12 +67,43 @@ def tombstones(presence: DataFrame, sweeps: DataFrame, key: str) -> DataFrame:
 
     Finished sweeps without the entity count; after two in a row it is gone from the second; a reappearance resets.
     """
-    days = small_side(calendar(sweeps, presence.select("sweep_date")))
+    days = small_side(cut(calendar(sweeps, presence.select("sweep_date"))))
+    latest = sweeps.where("finished").agg(F.max("sweep_date")).first()[0]
     last = presence.where(F.col(key).isNotNull()).groupBy(key).agg(F.max("sweep_date").alias("sweep_date")).join(days, "sweep_date")
-    after = sweeps.where("finished").agg(F.array_sort(F.collect_set("sweep_date")).alias("all"))  # one row of sweep dates
-    ends = last.join(F.broadcast(after), F.lit(True), "left")
-    misses = F.least(F.size(F.filter("all", lambda d: d > F.col("sweep_date"))), F.lit(GONE_AFTER))
-    return ends.select(key, F.col("sweep_date").alias("last_seen"), misses.alias("misses"), F.col("gone_date").alias("gone_at"))
+    misses = F.when(F.col("gone_date").isNotNull(), GONE_AFTER).when(F.col("sweep_date") < F.lit(latest), 1).otherwise(0)
+    return last.select(key, F.col("sweep_date").alias("last_seen"), misses.alias("misses"), F.col("gone_date").alias("gone_at"))
+
+
+def register_upsert(log: DataFrame, passes: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The register after a log of readings: of each key its latest row whole, last_pass, missed, delisted_at.
+
+    log: key, pass_id (null where a stored page was read again), order and columns; passes: pass_id, finished_at of the
+    complete passes. A reading in a pass clears misses and delisting; one without a pass leaves both as they were. Each
+    complete pass that lacks the key counts, and the second one in a row delists it at its finished_at. Keys that no pass
+    has seen count from the first pass on. Rows without key are left out; a pass that is not complete counts as no miss.
+    """
+    rest = [c for c in log.columns if c not in (key, "pass_id")]
+    rows = log.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(*order, *(c for c in rest if c not in order))).alias("r"), F.max("pass_id").alias("last_pass"))
+    ends = passes.groupBy("pass_id").agg(F.max("finished_at").alias("finished_at")).groupBy().agg(F.array_sort(F.collect_list(F.struct("pass_id", "finished_at"))).alias("p"))
+    # What is missed after each pass that the log knows, and after none: a table of one row per pass.
+    seen = log.select("pass_id").distinct().unionByName(log.sparkSession.createDataFrame([(None,)], log.select("pass_id").schema)).distinct()
+    after = seen.crossJoin(F.broadcast(ends)).select(F.col("pass_id").alias("last_pass"), F.filter("p", lambda x: F.col("pass_id").isNull() | (x["pass_id"] > F.col("pass_id"))).alias("a"))
+    after = small_side(cut(after.select("last_pass", F.least(F.size("a"), F.lit(GONE_AFTER)).alias("missed"), F.get("a", F.lit(GONE_AFTER - 1))["finished_at"].alias("delisted_at"))))
+    joined = rows.join(after.withColumnRenamed("last_pass", "__p"), F.col("last_pass").eqNullSafe(F.col("__p")))
+    return joined.select(key, "r.*", "last_pass", "missed", "delisted_at")
+
+
+def sweep_rows(rows: DataFrame, page: str, key: str, more: str) -> DataFrame:
+    """key, page: each key once, on the first page that has it, up to the page where a sweep stops.
+
+    A sweep stops after the first page that brings nothing new or says that no more follow. rows: page, key, more, one per
+    record. Rows without key bring nothing.
+    """
+    first = cut(rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(page).alias(page)))
+    fresh = first.groupBy(page).agg(F.count("*").alias("fresh"))
+    pages = rows.groupBy(page).agg(F.min(more).alias("more")).join(fresh, page, "left")
+    stop = pages.where(F.col("fresh").isNull() | ~F.coalesce("more", F.lit(False))).agg(F.min(page)).first()[0]
+    return first if stop is None else first.where(F.col(page) <= F.lit(stop))
 
 
 def tracked_periods(readings: DataFrame, key: str, when: str, order: list[str], fields: list[str]) -> DataFrame:
@@ -136,6 +168,25 @@ def run_summary(runs: DataFrame) -> DataFrame:
     return runs.groupBy("command").agg(F.count("*").alias("runs"), F.max("finished_at").alias("last_finished"), F.sum("pages").alias("pages"))
 
 
+def days_since_last_run(runs: DataFrame, now: datetime, command: str | None = None, exclude: int | None = None) -> DataFrame:
+    """One row, days: since the latest start of a run of the command (of any, without one), at least 0; 1.0 if none is known. runs: run_id, command, started_at."""
+    known = runs.where(F.col("started_at").isNotNull())
+    known = known if command is None else known.where(F.col("command") == command)
+    known = known if exclude is None else known.where(F.col("run_id") != exclude)
+    gap = (F.unix_micros(F.lit(now).cast("timestamp")) - F.unix_micros(F.max(F.try_to_timestamp(F.col("started_at").cast("string"))))) / 86_400_000_000
+    return known.agg(F.greatest(F.coalesce(gap, F.lit(1.0)), F.lit(0.0)).alias("days"))
+
+
+def migrate(tables: dict[str, DataFrame], have: int, steps: dict[int, dict[str, tuple[dict[str, str], dict[str, Column]]]]) -> tuple[dict[str, DataFrame], int]:
+    """The tables brought from version ``have`` to the latest of steps, and that version. steps: version -> table -> (columns to add with their types, columns to compute anew); a table that is not there is left out; running it again changes nothing."""
+    for version in sorted(v for v in steps if v > have):
+        for name, (added, computed) in steps[version].items():
+            if name in tables:
+                tables = tables | {name: add_missing_columns(tables[name], added).withColumns(computed)}
+        have = version
+    return tables, have
+
+
 def slice_pages(last_page: int, gap_days: float, period_days: float, floor: int) -> int:
     """Pages of a rolling pass that keeps a full pass within ``period_days``."""
     return min(last_page, max(floor, ceil(last_page * min(1.0, gap_days / period_days)))) if last_page else floor

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyweir.operators.asof import latest_at
+
 from tallyweir.functions.dates import guarded_ratio
 
 
@@ -39,6 +43,36 @@ def store_counts(tender: DataFrame, companies: DataFrame, register: DataFrame) -
     return t.join(F.broadcast(c), one, "left").join(F.broadcast(r), one, "left")
 
 
+def store_statistics(tender: DataFrame, companies: DataFrame, register: DataFrame, pages: DataFrame, seen: DataFrame, tender_activities: DataFrame, matches: DataFrame, features: DataFrame, failed: DataFrame, runs: DataFrame) -> DataFrame:
+    """One row with all counters of the store; each table is read once.
+
+    Beside store_counts(): pages (kind) by listing and detail; seen (tender_id, gone_at): tenders that are listed nowhere now;
+    register: delisted_at, activities; matches (method) and those for review; rows of features, tender activities and failed
+    pages; runs (finished_at): the latest.
+    """
+    n = lambda df, name: df.agg(F.count("*").alias(name))
+    gone = seen.groupBy("tender_id").agg(F.count_if(F.col("gone_at").isNull()).alias("live")).agg(F.count_if(F.col("live") == 0).alias("listed_nowhere"))
+    parts = [
+        pages.agg(F.count_if(F.col("kind") == "listing").alias("listing_pages"), F.count_if(F.col("kind") == "detail").alias("detail_pages")), gone,
+        register.agg(F.count("delisted_at").alias("delisted"), F.coalesce(F.sum(F.size("activities")), F.lit(0)).cast("bigint").alias("company_activities")), n(tender_activities, "tender_activities"),
+        matches.agg(F.count("*").alias("matches"), F.count_if(F.col("method").isin("name_fuzzy", "name_translit")).alias("matches_for_review")), n(features, "feature_rows"), n(failed, "pages_awaiting_retry"), runs.agg(F.max("finished_at").alias("last_run")),
+    ]
+    return reduce(lambda x, y: x.join(F.broadcast(y), F.lit(True), "left"), parts, store_counts(tender, companies, register))  # one-row results side by side
+
+
+def cohort_scores(scores: DataFrame, industries: DataFrame, as_of: Column) -> DataFrame:
+    """industry, company_id, score: the cohort of each industry as at a date, one row per company with a score by then. scores: as features.distinct_scores gives them."""
+    latest = latest_at(scores, "company_id", "day", as_of, ["posted_at", "id"], ["score"])
+    return latest.join(industries.where("industry is not null"), "company_id").select("industry", "company_id", "score")
+
+
+def register_of_matches(matches: DataFrame, register: DataFrame, client: str) -> DataFrame:
+    """client, profile_number, name, size, evaluation: of the register rows whose number root is that of any number the client was matched by, the one of the least profile_number. matches: client, matched_cr (root)."""
+    roots = matches.where("matched_cr is not null").select(client, F.col("matched_cr").alias("cr_root")).distinct()
+    rows = register.where("cr_root is not null").groupBy("cr_root").agg(F.min(F.struct("profile_number", "name", "size", "evaluation")).alias("r"))
+    return roots.join(rows, "cr_root").groupBy(client).agg(F.min("r").alias("r")).select(client, "r.*")
+
+
 def score_counts(company: DataFrame, observations: DataFrame, listing: DataFrame) -> DataFrame:
     """One row: companies live and gone, with number and history (by their latest snapshot), observations, listing states."""
     key = F.lower(F.regexp_replace(F.trim("id"), r"^\{|\}$", ""))

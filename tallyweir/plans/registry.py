@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from tallyweir.plans import data_queries, register_queries
+from tallyweir.plans import data_queries, register_queries, store_queries
 
 FLAGSHIP = "p6_found"
 
 
 def queries() -> dict:
-    return {**data_queries.QUERIES, **register_queries.QUERIES}
+    return {**data_queries.QUERIES, **register_queries.QUERIES, **store_queries.QUERIES}
 
 
 def oracles() -> dict:
-    return {**data_queries.ORACLES, **register_queries.ORACLES}
+    return {**data_queries.ORACLES, **register_queries.ORACLES, **store_queries.ORACLES}

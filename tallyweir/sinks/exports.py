@@ -31,6 +31,26 @@ def export(name: str, builders: dict, path: str) -> None:
     write_csv([rows], path)
 
 
+#: fixed values: the exports of the tender store and of the score store; each a table as it is, but for the awards
+TENDER_EXPORTS = {"tenders": "tender", "sightings": "sighting", "companies": "classified_company", "activities": "company_activity", "tender_activities": "tender_activity", "matches": "match", "features": "feature_cr_month"}
+SCORE_EXPORTS = {"companies": "company", "scores": "score_observation", "listing": "listing_state", "matches": "match", "services": "company_service", "goods": "company_good"}
+ORDERED = {"sightings": ["tender_id", "first_seen"], "scores": ["company_id", "posted_at"], "listing": ["company_id", "from_date"]}
+
+
+def awards(company: DataFrame, tender: DataFrame) -> DataFrame:
+    """Every company row with what its tender says of the award."""
+    return company.join(tender.select("tender_id", "family", "state", "awarded_date", "ministry", "awarded_amount"), "tender_id")
+
+
+def exports_of(tables: dict[str, DataFrame], scores: bool = False) -> dict:
+    """The builders of the store's named exports, of the tables that are there."""
+    ordered = lambda name, t: t.orderBy(*ORDERED[name]) if name in ORDERED else t
+    built = {name: lambda name=name, t=tables[t]: ordered(name, t) for name, t in (SCORE_EXPORTS if scores else TENDER_EXPORTS).items() if t in tables}
+    if not scores and {"company", "tender"} <= {*tables}:
+        built["awards"] = lambda: awards(tables["company"], tables["tender"])
+    return built
+
+
 def pack(tables: dict[str, DataFrame], path: str, private: list[str] = PRIVATE) -> list[str]:
     """Writes a copy of all tables but the private ones; returns the names written."""
     shared = sorted(t for t in tables if t not in private)
@@ -54,7 +74,9 @@ def stored_sizes(pages: DataFrame) -> DataFrame:
 
 
 def compact(path: str, out: str, spark, rows_per_file: int = 1_000_000) -> None:
-    """Rewrites a table in files of at most ``rows_per_file`` rows."""
-    spark.read.parquet(path).coalesce(8).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(out)
+    """Rewrites a table in files of at most ``rows_per_file`` rows, as many tasks as it has such files."""
+    rows = spark.read.parquet(path)
+    files = max(1, -(-rows.count() // rows_per_file))
+    rows.coalesce(files).write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(out)
 
 
