@@ -12,7 +12,7 @@ from tallyweir.operators import asof, features, lifecycle, reports, resolve
 from tallyweir.operators.history import canonical_id
 from tallyweir.session import table
 
-END, MONTHS, AT = date(2026, 6, 30), 24, date(2026, 3, 31)
+END, MONTHS, AT = date(2026, 6, 30), 60, date(2026, 3, 31)
 FINAL = ["awarded", "cancelled"]
 
 
@@ -150,15 +150,15 @@ def _scalars(spark, d) -> DataFrame:
     c = F.col
     return t.select(
         "tender_id", dates.parse_date(F.concat(F.lit("on "), c("awarded_date"))).alias("slashed"), dates.iso_date(c("awarded_date")).alias("iso"), text.parse_money(F.concat(F.format_number("awarded_amount", 2), F.lit(" QAR"))).alias("money"),
-        text.norm_label(F.concat(F.lit("  "), c("subject"), F.lit(" : "))).alias("label"), text.companies_ref(c("tender_id"), c("state")).alias("ref"), text.direction(c("sector_type")).alias("direction"), text.state_rank(c("state")).cast("bigint").alias("rank"),
-        text.kind_from_url(F.concat(F.lit("https://x/"), text.kind_path(F.when(c("family") == "bid", F.concat(F.lit("bids-"), "state")).otherwise(c("state"))), F.lit("/3"))).alias("kind"), text.clean_cell(c("awarded_amount")).isNotNull().alias("cleaned"),
-        text.looks_rejected(c("subject")).alias("rejected"), text.stage_for_heading(F.concat(c("state"), F.lit("ly Opened :"))).alias("stage"),
+        text.norm_label(F.concat(F.lit("  "), c("subject"), F.lit(" : "))).alias("label"), text.companies_ref(c("tender_id"), c("state")).alias("ref"), text.direction(F.when(c("state") == "awarded", " Vendor. ").when(c("state") == "closed", "SALES").otherwise(c("sector_type"))).alias("direction"), text.state_rank(c("state")).cast("bigint").alias("rank"),
+        text.kind_from_url(F.concat(F.lit("https://x/"), text.kind_path(F.when(c("family") == "bid", F.concat(F.lit("bids-"), "state")).otherwise(c("state"))), F.lit("/3"))).alias("kind"), text.clean_cell(F.when(c("awarded_amount").isNotNull(), F.concat(F.lit(" "), F.floor("awarded_amount").cast("string"), F.when(c("family") == "bid", ".00 ").otherwise(".50 ")))).alias("cleaned"),
+        text.looks_rejected(F.when(c("state") == "closed", F.concat("subject", F.lit(" The requested URL was rejected."))).when(c("state") == "future", F.concat(F.lit("Your support ID is "), "tender_id")).otherwise(c("subject"))).alias("rejected"), text.stage_for_heading(F.concat(c("state"), F.lit("ly Opened :"))).alias("stage"),
     ).distinct()
 
 
 QUERIES = {
     "ag1_by_state": lambda s, d: reports.by_state(_tender(s, d)),
-    "ag5_win_rates": lambda s, d: reports.win_rates(_companies(s, d), _tender(s, d), 3),
+    "ag5_win_rates": lambda s, d: reports.win_rates(_companies(s, d), _tender(s, d), 2),
     "ag12_store_counts": lambda s, d: reports.store_counts(_tender(s, d), _companies(s, d), table(s, d, "classified_company").distinct()),
     "ag12_score_counts": lambda s, d: reports.score_counts(table(s, d, "company"), table(s, d, "score_observation"), table(s, d, "listing_state")),
     "ag13_section_status": lambda s, d: reports.section_status(_seen(s, d), "kind"),
@@ -215,7 +215,8 @@ ISO = "TRY_CAST(try_strptime(left({c}, 10), '%Y-%m-%d') AS DATE)"
 ROOT = "nullif(ltrim(regexp_extract(regexp_replace(regexp_replace(translate({c}, '٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹', '01234567890123456789'), '\\.0+\\s*$', ''), '([0-9]),([0-9])', '\\1\\2', 'g'), '[0-9]+'), '0'), '')"
 MONTHS_BETWEEN = "((year({b}) - year({a})) * 12 + month({b}) - month({a}))"
 GRID_SQL = "g AS (SELECT CAST(last_day(m) AS DATE) AS as_of FROM (SELECT unnest(generate_series({first}, {last}, INTERVAL 1 MONTH)) m))"
-SCORE_GRID = GRID_SQL.format(first="DATE '2025-01-01'", last="DATE '2026-06-01'")
+#: from the month of the earliest observation, at most five years back
+SCORE_GRID = GRID_SQL.format(first="(SELECT greatest(date_trunc('month', min(CAST(posted_date AS DATE))), DATE '2021-06-01') FROM score_observation)", last="DATE '2026-06-01'")
 PROFILES = f"""{O}, {{grid}},
 x AS (SELECT company_id, as_of, o.*EXCLUDE (company_id), CAST(date_trunc('month', as_of) - INTERVAL 1 YEAR AS DATE) AS cut FROM o JOIN g ON day <= as_of),
 prof AS (SELECT company_id, as_of, arg_max(score, struct_pack(a := day, b := posted_at, c := id)) AS score, max(day) AS score_date, arg_max(struct_pack(r := reason), struct_pack(a := day, b := posted_at, c := id)).r AS score_reason, min(day) AS first_certificate, count(*) AS observations,
@@ -244,7 +245,7 @@ ORACLES = {
     "ag5_win_rates": f"""WITH {T}, {C}, {DECIDED}, per AS (SELECT coalesce(cr_root, name_normalised) AS key, min(name) AS name, tender_id, max(CASE WHEN role = 'awarded' THEN 1 ELSE 0 END) AS won, sum(CASE WHEN role = 'awarded' THEN coalesce(value, 0) ELSE 0 END) AS value FROM c GROUP BY ALL)
 SELECT key, min(per.name) AS name, count(*) AS appearances, sum(won)::BIGINT AS won, sum(CASE WHEN won = 0 AND d.tender_id IS NOT NULL THEN 1 ELSE 0 END)::BIGINT AS lost, sum(CASE WHEN d.tender_id IS NULL AND state <> 'cancelled' THEN 1 ELSE 0 END)::BIGINT AS open,
   sum(CASE WHEN d.tender_id IS NULL AND state = 'cancelled' THEN 1 ELSE 0 END)::BIGINT AS cancelled, round(sum(value), 2) AS value, min(awarded_date) AS first_award, max(awarded_date) AS last_award
-FROM per JOIN t USING (tender_id) LEFT JOIN dec d USING (tender_id) GROUP BY key HAVING count(*) >= 3""",
+FROM per JOIN t USING (tender_id) LEFT JOIN dec d USING (tender_id) GROUP BY key HAVING count(*) >= 2""",
     "ag12_store_counts": f"""WITH {T}, {C} SELECT * FROM (SELECT count(*) AS tenders, count(awarded_date) AS with_award_date, min(awarded_date) AS earliest_award, max(awarded_date) AS latest_award, round(sum(awarded_amount), 2) AS total_awarded FROM t),
 (SELECT count(*) FILTER (WHERE role = 'awarded') AS award_rows, count(*) FILTER (WHERE role = 'bidder') AS bidder_rows, count(DISTINCT coalesce(cr_root, name_normalised)) AS distinct_companies, count(cr_root) AS with_cr FROM c), (SELECT count(*) AS classified FROM (SELECT DISTINCT * FROM classified_company))""",
     "ag12_score_counts": """WITH k AS (SELECT regexp_replace(lower(trim(id)), '[{}]', '', 'g') AS k, * FROM company QUALIFY row_number() OVER (PARTITION BY regexp_replace(lower(trim(id)), '[{}]', '', 'g') ORDER BY snapshot_date DESC, loaded_at DESC, gone_at DESC NULLS LAST, cr_root DESC NULLS LAST) = 1)
@@ -272,8 +273,8 @@ SELECT client_id, relation, party_key, name, client_name FROM (SELECT customer_i
     "so2_top_awards": f"WITH {T}, {C} SELECT tender_id, seq, name, ministry, value FROM c JOIN t USING (tender_id) WHERE role = 'awarded' AND value IS NOT NULL ORDER BY value DESC, CAST(tender_id AS BIGINT), seq LIMIT 25",
     "dat3_month_grid": f"WITH {T} SELECT tender_id, CAST(last_day(CAST(m AS DATE)) AS DATE) AS month_end FROM (SELECT tender_id, unnest(generate_series(date_trunc('month', CAST(publish_date AS DATE)), date_trunc('month', CAST(closing_date AS DATE)), INTERVAL 1 MONTH)) AS m FROM t)",
     "str_scalars": f"""SELECT DISTINCT tender_id, CAST(try_strptime(nullif(regexp_extract(awarded_date, '\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}'), ''), '%d/%m/%Y') AS DATE) AS slashed, {ISO.format(c='awarded_date')} AS iso, round(awarded_amount, 2) AS money,
-  lower(regexp_replace(trim(regexp_replace(subject || ' :', '\\s+', ' ', 'g')), ':+$', '')) AS label, tender_id || '@' || coalesce(state, '') AS ref, 'counterparty' AS direction, (CASE state WHEN 'future' THEN 0 WHEN 'published' THEN 1 WHEN 'closed' THEN 2 WHEN 'technical' THEN 3 WHEN 'financial' THEN 4 WHEN 'awarded' THEN 5 WHEN 'cancelled' THEN 6 ELSE -1 END)::BIGINT AS rank,
-  CASE WHEN state = 'published' THEN NULL WHEN family = 'bid' THEN 'bids-' || state ELSE state END AS kind, true AS cleaned, false AS rejected, CASE state WHEN 'technical' THEN 'technical' WHEN 'financial' THEN 'financial' ELSE 'unknown' END AS stage FROM tender""",
+  lower(regexp_replace(trim(regexp_replace(subject || ' :', '\\s+', ' ', 'g')), ':+$', '')) AS label, tender_id || '@' || coalesce(state, '') AS ref, CASE state WHEN 'awarded' THEN 'supplier' WHEN 'closed' THEN 'buyer' ELSE 'counterparty' END AS direction, (CASE state WHEN 'future' THEN 0 WHEN 'published' THEN 1 WHEN 'closed' THEN 2 WHEN 'technical' THEN 3 WHEN 'financial' THEN 4 WHEN 'awarded' THEN 5 WHEN 'cancelled' THEN 6 ELSE -1 END)::BIGINT AS rank,
+  CASE WHEN state = 'published' THEN NULL WHEN family = 'bid' THEN 'bids-' || state ELSE state END AS kind, coalesce(CAST(CAST(floor(awarded_amount) AS BIGINT) AS VARCHAR) || CASE WHEN family = 'bid' THEN '' ELSE '.50' END, '') AS cleaned, state IN ('closed', 'future') AS rejected, CASE state WHEN 'technical' THEN 'technical' WHEN 'financial' THEN 'financial' ELSE 'unknown' END AS stage FROM tender""",
     "str6_names": "SELECT DISTINCT name, name_normalised AS norm FROM tender_company",
     "str6_score_names": "SELECT DISTINCT name, name_norm AS norm FROM company",
     "str7_keys": "SELECT DISTINCT name, array_to_string(list_sort(list_distinct(string_split(name_normalised, ' '))), ' ') AS key, array_to_string(list_transform(string_split(regexp_replace(name_normalised, '[aeiou]', '', 'g'), ' '), lambda w: list_reduce(string_split(w, ''), lambda a, b: CASE WHEN right(a, 1) = b THEN a ELSE a || b END)), ' ') AS skeleton FROM tender_company WHERE name_normalised <> ''",
@@ -284,7 +285,7 @@ SELECT url, CASE n % 3 WHEN 0 THEN 'new' WHEN 1 THEN 'unchanged' ELSE 'changed'
     "wn2_rarest_words": "WITH n AS (SELECT DISTINCT name_normalised AS query FROM tender_company WHERE name_normalised <> ''), w AS (SELECT DISTINCT query, unnest(string_split(query, ' ')) AS word FROM n), df AS (SELECT word, count(*) AS df FROM w GROUP BY word) SELECT query, word FROM w JOIN df USING (word) QUALIFY row_number() OVER (PARTITION BY query ORDER BY df, word) <= 2",
     "f1_company_months": f"""WITH {T}, {C}, {DECIDED}, own AS (SELECT cr_root, tender_id, max(CASE WHEN role = 'awarded' THEN 1 ELSE 0 END) AS won, round(sum(CASE WHEN role = 'awarded' THEN value END), 2) AS amount FROM c WHERE cr_root IS NOT NULL GROUP BY ALL),
 e AS (SELECT own.*, coalesce({ISO.format(c='awarded_date')}, {ISO.format(c='closing_date')}) AS day, d.tender_id IS NOT NULL AS decided, nullif(ministry, '') AS ministry FROM own JOIN t USING (tender_id) LEFT JOIN dec d USING (tender_id)),
-{GRID_SQL.format(first="greatest(DATE '2024-07-01', (SELECT date_trunc('month', min(day)) FROM e))", last="DATE '2026-06-01'")},
+{GRID_SQL.format(first="greatest(DATE '2021-07-01', (SELECT date_trunc('month', min(day)) FROM e))", last="DATE '2026-06-01'")},
 x AS (SELECT *, day > as_of - 365 AS i12, day > as_of - 1095 AS i36 FROM e JOIN g ON day <= as_of),
 b AS (SELECT cr_root, as_of, sum(amount) AS v FROM x WHERE won = 1 AND i12 GROUP BY cr_root, as_of, ministry), bb AS (SELECT cr_root, as_of, max(v) AS top FROM b GROUP BY ALL),
 r AS (SELECT cr_root, max(struct_pack(p := parsed_at, s := size, e := evaluation, c := certificate_end)) AS r FROM classified_company WHERE cr_root IS NOT NULL GROUP BY ALL),
@@ -295,7 +296,7 @@ SELECT cr_root, as_of AS as_of_month, w12 AS awards_12m_count, round(v12, 2) AS
   CASE WHEN as_of = DATE '2026-06-30' THEN r.s END AS classified_size, CASE WHEN as_of = DATE '2026-06-30' THEN r.e END AS classified_evaluation, CASE WHEN as_of = DATE '2026-06-30' THEN r.c END AS certificate_end FROM a LEFT JOIN bb USING (cr_root, as_of) LEFT JOIN r USING (cr_root)""",
     "f8_match_facts": f"WITH {MATCHES} SELECT * FROM f",
     "f2_client_months": f"""WITH {MATCHES}, e AS (SELECT client_id, relation, tender_id, {ISO.format(c='event_date')} AS day, won, decided, company_value AS value, nullif(buyer, '') AS buyer, needs_review AS review, CASE WHEN relation <> 'self' THEN upper(coalesce(party_name, '')) ELSE '' END AS party FROM f),
-{GRID_SQL.format(first="date_trunc('month', DATE '2026-06-01' - 744)", last="DATE '2026-06-01'")},
+{GRID_SQL.format(first="date_trunc('month', DATE '2026-06-01' - 1860)", last="DATE '2026-06-01'")},
 x AS (SELECT *, day > CAST(date_trunc('month', as_of) - INTERVAL 1 YEAR AS DATE) AS i12, day > CAST(date_trunc('month', as_of) - INTERVAL 3 YEAR AS DATE) AS i36 FROM e JOIN g ON day <= as_of),
 pt AS (SELECT client_id, as_of, max(v) AS largest FROM (SELECT client_id, as_of, sum(value) AS v FROM x WHERE relation = 'self' AND i12 AND won = 1 GROUP BY client_id, as_of, tender_id) GROUP BY ALL),
 pb AS (SELECT client_id, as_of, max(v) AS top, sum(v) AS tot FROM (SELECT client_id, as_of, sum(value) AS v FROM x WHERE relation = 'self' AND i12 AND won = 1 AND buyer IS NOT NULL GROUP BY client_id, as_of, buyer) GROUP BY ALL),
