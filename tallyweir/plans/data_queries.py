@@ -26,7 +26,27 @@ QUERIES = {
 ID = "lower(regexp_replace(regexp_replace({c}, '^[\\s\\x{{a0}}]+|[\\s\\x{{a0}}]+$', '', 'g'), '^\\{{|\\}}$', '', 'g'))"
 VAL = "nullif(lower(regexp_replace({c}, '^[\\s\\x{{a0}}]+|[\\s\\x{{a0}}]+$', '', 'g')), '')"
 
+#: spellings of a point in time; of the third field the time is local
+ISO = r"^(\d{4})-(\d{1,2})-(\d{1,2})(?:[T ](\d{1,2}):(\d{2})(?::(\d{2})(?:\.(\d+))?)?\s*(Z|[+-]\d{2}:?\d{2})?(?:\[.*\])?)?$"
+SHORT = r"^(\d{1,2})[/.](\d{1,2})[/.](\d{4})(?:,? +(\d{1,2}):(\d{2})(?::(\d{2}))?\s*(AM|PM|ص|م)?)?$"
+MAIL = r"^\w{3}, (\d{1,2}) (\w{3}) (\d{4}) (\d{2}):(\d{2}):(\d{2}) GMT$"
+
 ORACLES = {
+    "p1_found": f"""
+WITH r AS (SELECT attr_id, coalesce(nullif(trim(tz), ''), 'Asia/Qatar') AS z, coalesce(lower(trim(culture)), '') = 'en-us' AS us, [attr_value, display_value, formatted_value] AS v FROM record_attribute WHERE lower(trim(attr_name)) IN ('icv_posteddate', 'createdon', 'modifiedon', 'icv_icvscoreexpirydate')),
+t AS (SELECT attr_id, z, i, us AND i = 3 AS us, trim(translate(v[i], '٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹', '01234567890123456789')) AS t FROM r, (SELECT unnest([1, 2, 3]) AS i)),
+p AS (SELECT *, TRY_CAST(nullif(regexp_extract(t, '^/Date\\((-?\\d+)(?:[+-]\\d{{4}})?\\)/$', 1), '') AS BIGINT) AS js, TRY_CAST(nullif(regexp_extract(t, '^\\d{{12,14}}$'), '') AS BIGINT) AS ms, TRY_CAST(nullif(regexp_extract(t, '^\\d{{9,11}}$'), '') AS BIGINT) AS sec,
+  regexp_extract(t, '{ISO}', ['y', 'm', 'd', 'h', 'mi', 's', 'f', 'o']) AS a, regexp_extract(t, '{SHORT}', ['x', 'w', 'y', 'h', 'mi', 's', 'ap']) AS b, regexp_extract(t, '{MAIL}', ['d', 'm', 'y', 'h', 'mi', 's']) AS c FROM t),
+q AS (SELECT attr_id, z, i, coalesce(js, ms, sec * 1000) AS ms, a.o AS o, coalesce(nullif(a.y, ''), nullif(b.y, ''), nullif(c.y, '')) AS y, coalesce(nullif(a.m, ''), nullif(CASE WHEN us THEN b.x ELSE b.w END, ''), nullif(CAST(list_position(['Jan', 'Feb', 'Mar', 'Apr', 'May', 'Jun', 'Jul', 'Aug', 'Sep', 'Oct', 'Nov', 'Dec'], c.m) AS VARCHAR), '0')) AS m,
+  coalesce(nullif(a.d, ''), nullif(CASE WHEN us THEN b.w ELSE b.x END, ''), nullif(c.d, '')) AS d, TRY_CAST(coalesce(nullif(a.h, ''), nullif(b.h, ''), nullif(c.h, '')) AS INT) AS h, TRY_CAST(coalesce(nullif(a.mi, ''), nullif(b.mi, ''), nullif(c.mi, '')) AS INT) AS mi, coalesce(TRY_CAST(coalesce(nullif(a.s, ''), nullif(b.s, ''), nullif(c.s, '')) AS INT), 0) AS s,
+  CAST(left(a.f || '000', 3) AS INT) AS f, b.ap AS ap, c.y <> '' AS mail FROM p),
+w AS (SELECT *, TRY_CAST(y || '-' || lpad(m, 2, '0') || '-' || lpad(d, 2, '0') AS DATE) AS day, CASE WHEN ap = '' THEN h WHEN h BETWEEN 1 AND 12 THEN h % 12 + CASE WHEN ap IN ('PM', 'م') THEN 12 ELSE 0 END END AS hour FROM q),
+x AS (SELECT *, epoch_ms(CAST(day AS TIMESTAMP)) + CASE WHEN hour <= 23 AND mi <= 59 AND s <= 59 THEN ((hour * 60 + mi) * 60 + s) * 1000 + f END AS wall, CASE WHEN o = '' OR o = 'Z' THEN o ELSE left(o, 3) || ':' || right(o, 2) END AS zone FROM w),
+l AS (SELECT *, CASE WHEN i = 3 AND zone = '' AND z NOT SIMILAR TO '[+-].*' THEN timezone(z, make_timestamp(wall * 1000)) END AS local FROM x),
+g AS (SELECT attr_id, i, CASE WHEN ms IS NOT NULL THEN ms WHEN h IS NULL THEN epoch_ms(CAST(day AS TIMESTAMP)) WHEN zone = 'Z' OR mail OR (i < 3 AND zone = '') THEN wall
+  WHEN zone <> '' OR z SIMILAR TO '[+-].*' THEN wall - (CASE WHEN left(coalesce(nullif(zone, ''), z), 1) = '-' THEN -1 ELSE 1 END) * (CAST(substr(coalesce(nullif(zone, ''), z), 2, 2) AS INT) * 60 + CAST(right(coalesce(nullif(zone, ''), z), 2) AS INT)) * 60000
+  ELSE epoch_ms(CASE WHEN timezone(z, local - INTERVAL 1 HOUR) = make_timestamp(wall * 1000) THEN local - INTERVAL 1 HOUR ELSE local END) END AS utc FROM l)
+SELECT attr_id, CAST(arg_min(utc, i) AS BIGINT) AS utc_ms FROM g WHERE utc >= -2208988800000 GROUP BY attr_id""",
     "p2_found": f"""
 WITH s AS (SELECT sweep_date, finished, row_number() OVER (ORDER BY sweep_date) pos, count(*) FILTER (WHERE finished) OVER (ORDER BY sweep_date) fin FROM sweep),
 f AS (SELECT fin, sweep_date AS d FROM s WHERE finished),

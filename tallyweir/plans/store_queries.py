@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweir.functions import dates, text
-from tallyweir.operators import features, lifecycle, reports
+from tallyweir.operators import features, lifecycle, reports, resolve
 from tallyweir.operators.history import canonical_id
 from tallyweir.plans import register_queries as q
 from tallyweir.session import table
@@ -142,3 +142,62 @@ SELECT * FROM ({q.ORACLES["ag12_store_counts"].removeprefix(f"WITH {q.T}, {q.C}
 (SELECT count(*) FILTER (WHERE live = 0) AS listed_nowhere FROM (SELECT tender_id, count(*) FILTER (WHERE gone_at IS NULL) AS live FROM seen GROUP BY 1)),
 (SELECT count(*) FILTER (WHERE certificate_end < '2026-01-01') AS delisted, coalesce(sum(len(activities)), 0)::BIGINT AS company_activities, coalesce(sum(len(activities)), 0)::BIGINT AS tender_activities FROM reg),
 (SELECT count(*) AS matches, count(*) FILTER (WHERE method IN ('name_fuzzy', 'name_translit')) AS matches_for_review FROM m), (SELECT count(*) AS feature_rows FROM l), (SELECT max(sweep_date) AS last_run FROM sweep WHERE finished)"""
+
+
+def _names_sql(c: str) -> str:
+    """A name's comparison form in DuckDB: by its script; '|' stands for the marks and blanks between initials while they are looked at."""
+    noise = f"lower(strip_accents({c}))"
+    for pattern in text.NOISE:
+        noise = f"regexp_replace({noise}, '{pattern}', ' ', 'g')"
+    dotted = f"replace(regexp_replace(regexp_replace({noise}, '\\b([a-z])\\.', '\\1|', 'g'), '\\|([a-z])\\b', '\\1', 'g'), '|', '.')"
+    bare = f"regexp_replace({dotted}, '[^a-z0-9 ]+', ' ', 'g')"
+    run = f"replace(regexp_replace(regexp_replace({bare}, '\\b([a-z]) ', '\\1|', 'g'), '\\|([a-z])\\b', '\\1', 'g'), '|', ' ')"
+    short = ", ".join(f"'{k}': '{v}'" for k, v in text.ABBREVIATIONS.items())
+    full = f"array_to_string(list_transform(list_filter(string_split({run}, ' '), lambda w: w <> ''), lambda w: coalesce(MAP {{{short}}}[w], w)), ' ')"
+    legal = f"regexp_replace({full}, '(?:(?:^| )(?:{'|'.join(text.LEGAL)}))+$', '')"
+    latin = f"array_to_string(list_filter(string_split({legal}, ' '), lambda w: w <> '' AND NOT list_contains({text.STOPWORDS}, w)), ' ')"
+    own = f"list_filter(list_transform(list_filter(string_split_regex({FOLD.format(c=c)}, ' +'), lambda x: x <> '' AND NOT list_contains({DROP}, x)), lambda x: regexp_replace(x, '^(?:وال|بال|كال|فال|لل|ال)(..)', '\\1')), lambda x: NOT list_contains({DROP}, x))"
+    return f"CASE WHEN arabic THEN array_to_string({own}, ' ') ELSE {latin} END"
+
+
+SORTED = "array_to_string(list_sort({d}(string_split({c}, ' '))), ' ')"
+#: the longest common subsequence of a and b, row by row
+COMMON = """list_last(list_reduce(string_split(b, ''), lambda r, c: list_reduce(range(1, len(a) + 1), lambda n, j: list_append(n, CASE WHEN a[j] = c THEN r[j] + 1 ELSE greatest(r[j + 1], n[j]) END), [0::BIGINT]), list_resize([0::BIGINT], len(a) + 1, 0::BIGINT)))"""
+LADDER = f"""WITH l AS (SELECT DISTINCT customer_id, {q.ROOT.format(c='cr_number')} AS root, unnest([name, name_ar]) AS name FROM customers), r AS (SELECT DISTINCT profile_number, {q.ROOT.format(c='cr_number')} AS root, name FROM classified_company),
+s AS (SELECT name, len(regexp_extract_all(name, '[ء-يٱ-ۓ]')) >= 2 AS arabic FROM (SELECT name FROM l UNION SELECT name FROM r) WHERE name IS NOT NULL), n AS (SELECT name, arabic, {_names_sql('name')} AS norm FROM s),
+ln AS (SELECT DISTINCT customer_id, arabic, norm, {SORTED.format(d='list_distinct', c='norm')} AS canon FROM l JOIN n USING (name) WHERE norm <> ''), rn AS (SELECT DISTINCT profile_number, arabic, norm, {SORTED.format(d='list_distinct', c='norm')} AS canon FROM r JOIN n USING (name) WHERE norm <> ''),
+held AS (SELECT DISTINCT arabic, norm, unnest(string_split(norm, ' ')) AS word FROM rn), df AS (SELECT arabic, word, count(*) AS df FROM held GROUP BY ALL),
+rare AS (SELECT arabic, query, word FROM (SELECT DISTINCT arabic, norm AS query, unnest(string_split(norm, ' ')) AS word FROM ln) JOIN df USING (arabic, word) QUALIFY row_number() OVER (PARTITION BY arabic, query ORDER BY df, word) <= 2),
+near AS (SELECT DISTINCT arabic, query, norm, {SORTED.format(d='', c='query')} AS a, {SORTED.format(d='', c='norm')} AS b FROM rare JOIN held USING (arabic, word) WHERE query <> norm AND 2 * least(len(query), len(norm)) >= 0.92 * (len(query) + len(norm)) - 1e-9),
+score AS (SELECT arabic, query, norm, 2.0 * {COMMON} / (len(a) + len(b)) AS score FROM near),
+found AS (SELECT customer_id, profile_number, 0 AS rank, 1.0::DOUBLE AS score FROM (SELECT DISTINCT customer_id, root FROM l) JOIN (SELECT DISTINCT profile_number, root FROM r) USING (root)
+  UNION ALL SELECT customer_id, profile_number, 1, 1.0 FROM ln JOIN rn USING (norm) UNION ALL SELECT customer_id, profile_number, 1, 0.99 FROM ln JOIN rn USING (canon)
+  UNION ALL SELECT customer_id, profile_number, 2, round(score, 3) FROM ln JOIN score ON ln.norm = score.query JOIN rn ON rn.norm = score.norm WHERE score >= 0.92),
+best AS (SELECT customer_id, profile_number, min(struct_pack(r := rank, s := -score)) AS b FROM found GROUP BY ALL)"""
+
+
+def _names_ladder(spark, d) -> DataFrame:
+    """The ladder without its transliterating rung."""
+    return resolve.match(q._customers(spark, d), table(spark, d, "classified_company"), ["customer_id"], ["profile_number"], ["name", "name_ar"], ["name"], translit=1.0)
+
+
+QUERIES |= {
+    "jn11_ladder_names": _names_ladder,
+    "ag10_names_summary": lambda s, d: resolve.match_summary(_names_ladder(s, d), "customer_id"),
+    "sim1_similar_names": lambda s, d: _similar(s, d),
+}
+
+
+def _similar(spark, d) -> DataFrame:
+    """The score of each pair of normalised names of a rare word, whatever it is."""
+    names = table(spark, d, "tender_company").where("name_normalised <> ''").select(F.lit(False).alias("arabic"), F.col("name_normalised").alias("norm")).distinct()
+    return resolve.fuzzy_pairs(names, names, 0.6)
+
+
+ORACLES |= {
+    "jn11_ladder_names": f"{LADDER} SELECT customer_id, profile_number, CASE b.r WHEN 0 THEN 'cr' WHEN 1 THEN 'name_exact' ELSE 'name_fuzzy' END AS method, -b.s AS score, CASE WHEN b.r >= 2 THEN 1 ELSE 0 END::INT AS needs_review FROM best",
+    "ag10_names_summary": f"{LADDER} SELECT count(*) AS matches, count(DISTINCT customer_id) AS entities, count(*) FILTER (WHERE b.r = 0) AS cr, count(*) FILTER (WHERE b.r = 1) AS name_exact, count(*) FILTER (WHERE b.r = 2) AS name_fuzzy, 0::BIGINT AS name_translit, count(*) FILTER (WHERE b.r >= 2) AS needs_review FROM best",
+    "sim1_similar_names": f"""WITH n AS (SELECT DISTINCT name_normalised AS norm FROM tender_company WHERE name_normalised <> ''), h AS (SELECT norm, unnest(list_distinct(string_split(norm, ' '))) AS word FROM n), df AS (SELECT word, count(*) AS df FROM h GROUP BY word),
+rare AS (SELECT norm AS query, word FROM h JOIN df USING (word) QUALIFY row_number() OVER (PARTITION BY norm ORDER BY df, word) <= 2), p AS (SELECT DISTINCT query, norm, {SORTED.format(d='', c='query')} AS a, {SORTED.format(d='', c='norm')} AS b FROM rare JOIN h USING (word) WHERE query <> norm),
+s AS (SELECT query, norm, 2.0 * {COMMON} / (len(a) + len(b)) AS score FROM p) SELECT query, norm, round(score, 3) AS score FROM s WHERE score >= 0.6""",
+}
