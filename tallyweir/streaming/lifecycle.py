@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tallyweir.functions import text
+from tallyweir.session import remove
 
 
 def append_once(stream: DataFrame, key: str, when: str | None = None) -> DataFrame:
@@ -58,17 +59,55 @@ def tracked_changes(stream: DataFrame, key: str, when: str, fields: list[str]) -
     return rows.groupBy("key").applyInPandasWithState(changes, "key string, from_date string, v string", "at string, value string", "append", GroupStateTimeout.NoTimeout)
 
 
-def fold_stream(stream: DataFrame, state: str, fold: Callable[[DataFrame | None, DataFrame], DataFrame], checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Keeps a table under ``state`` up to date: version n + 1 is fold(version n, batch n). A batch that runs again rewrites its own version, so each counts once."""
+def fold_stream(stream: DataFrame, state: str, fold: Callable[[DataFrame | None, DataFrame], DataFrame], checkpoint: str, once: bool = True, key: str | None = None, buckets: int = 64) -> StreamingQuery:
+    """Keeps a table under ``state`` up to date: its rows after batch n are fold(the rows before, batch n). A batch that runs again rewrites its own files, so each counts once.
+
+    With ``key`` the table lies in buckets of the key, and a batch reads and rewrites only the buckets it touches; without,
+    it is one bucket. What no later batch needs is deleted: of each bucket the last two versions stay.
+    """
 
     def step(batch: DataFrame, n: int) -> None:
         spark: SparkSession = batch.sparkSession
-        old = spark.read.parquet(f"{state}/v{n - 1}") if n else None
-        fold(old, batch).write.mode("overwrite").parquet(f"{state}/v{n}")
+        placed = batch.withColumn("__b", F.lit(0) if key is None else F.pmod(F.hash(key), F.lit(buckets)))
+        touched = sorted(r[0] for r in placed.select("__b").distinct().collect())  # at most as many as there are buckets
+        held = _versions(spark, state, n - 1)
+        if key is None and not touched:
+            touched = [0]
+        old = [f"{state}/b{b}/v{held[b]}" for b in touched if b in held]
+        rows = fold(spark.read.parquet(*old) if old else None, placed.drop("__b"))
+        out = rows.withColumn("__b", F.lit(0) if key is None else F.pmod(F.hash(key), F.lit(buckets))).persist()
+        for b in touched:
+            out.where(F.col("__b") == b).drop("__b").write.mode("overwrite").parquet(f"{state}/b{b}/v{n}")
+        out.unpersist()
+        for b in touched:
+            _forget(spark, f"{state}/b{b}", below=held.get(b, n))
 
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
+def _listed(spark: SparkSession, path: str) -> list[str]:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+
+
+def _versions(spark: SparkSession, state: str, last: int) -> dict[int, int]:
+    """bucket: its latest finished version up to ``last``."""
+    found = {}
+    for b in _listed(spark, state):
+        done = [int(v[1:]) for v in _listed(spark, f"{state}/{b}") if int(v[1:]) <= last and "_SUCCESS" in _listed(spark, f"{state}/{b}/{v}")]
+        if done:
+            found[int(b[1:])] = max(done)
+    return found
+
+
+def _forget(spark: SparkSession, path: str, below: int) -> None:
+    for v in _listed(spark, path):
+        if int(v[1:]) < below:
+            remove(spark, f"{path}/{v}")
+
+
 def latest_version(spark: SparkSession, state: str, n: int) -> DataFrame:
-    return spark.read.parquet(f"{state}/v{n}")
+    """The table after batch n, while the versions are there."""
+    return spark.read.parquet(*(f"{state}/b{b}/v{v}" for b, v in sorted(_versions(spark, state, n).items())))
