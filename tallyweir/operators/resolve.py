@@ -24,11 +24,12 @@ NARRATED_FUZZY, NARRATED_TRANSLIT = 0.97, 0.96
 METHODS = ["cr", "name_exact", "name_fuzzy", "name_translit"]
 
 
-def name_table(classes: DataFrame, id_col: str, names: list[str]) -> DataFrame:
-    """id, raw, norm, canon, arabic, forms of each distinct non-empty name of a class."""
+def name_table(classes: DataFrame, id_col: str, names: list[str], forms: bool = True) -> DataFrame:
+    """id, raw, norm, canon, arabic, forms (if asked for) of each distinct non-empty name of a class."""
     raw = classes.select(id_col, F.explode(F.array_distinct(F.array_compact(F.array(*names)))).alias("raw"))
     normal = raw.withColumn("norm", text.normalize_name(F.col("raw"))).where("norm <> ''")
-    return normal.withColumn("canon", text.key_of(F.col("norm"))).withColumn("arabic", text.is_arabic(F.col("raw"))).withColumn("forms", text.skeleton_forms(F.col("raw")))
+    named = normal.withColumn("canon", text.key_of(F.col("norm"))).withColumn("arabic", text.is_arabic(F.col("raw")))
+    return named.withColumn("forms", text.skeleton_forms(F.col("raw"))) if forms else named
 
 
 def rarest_words(queries: DataFrame, names: DataFrame, words: int = 2) -> DataFrame:
@@ -93,6 +94,9 @@ def segment_keys(c: Column, least: float, own: bool) -> Column:
 def translit_pairs(queries: DataFrame, names: DataFrame, least: float) -> DataFrame:
     """query form, form, score of skeletons of the other script with ratio ``least`` or more; both of at least MIN_SKELETON letters."""
     forms = lambda d, as_: d.select("arabic", F.explode("forms").alias(as_)).where(F.length(as_) >= MIN_SKELETON).distinct()
+    # A form is only sought among those of the other script: where that script is absent, it has no keys.
+    scripts = lambda d: [not r["arabic"] for r in d.select("arabic").distinct().collect()]
+    queries, names = queries.where(F.col("arabic").isin(scripts(names))), names.where(F.col("arabic").isin(scripts(queries)))
     q = forms(queries, "query").withColumn("k", F.explode(segment_keys(F.col("query"), least, False)))
     n = forms(names, "form").withColumn("k", F.explode(segment_keys(F.col("form"), least, True))).withColumn("arabic", ~F.col("arabic"))
     pairs = q.join(n, ["arabic", "k"]).where(near_enough(F.col("query"), F.col("form"), least)).select("query", "form", "arabic").distinct()
@@ -101,8 +105,13 @@ def translit_pairs(queries: DataFrame, names: DataFrame, least: float) -> DataFr
 
 
 def numbered(rows: DataFrame, columns: list[str], out: str) -> DataFrame:
-    """The distinct values of columns with a number of their own; cut, so that the numbers stay. Nulls are values like others, and no two classes meet by chance."""
-    return cut(rows.select(*columns).distinct().withColumn(out, F.monotonically_increasing_id()))
+    """The distinct values of columns with a number of their own; cut, so that the numbers stay. Nulls are values like others, and no two classes meet by chance.
+
+    They lie in as many parts as the session shuffles into: what is done with names costs far more than their bytes tell.
+    """
+    spark = rows.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return cut(rows.select(*columns).distinct().repartition(parts).withColumn(out, F.monotonically_increasing_id()))
 
 
 def members(rows: DataFrame, classes: DataFrame, columns: list[str], out: str) -> DataFrame:
@@ -122,7 +131,7 @@ def match(left: DataFrame, right: DataFrame, left_key: list[str], right_key: lis
     r_rows = right.select(*right_key, *right_names, text.cr_root(F.col("cr_number"), qfc).alias("root")).distinct()
     l_class, r_class = numbered(l_rows, ["root", *left_names], "l"), numbered(r_rows, ["root", *right_names], "r")
     l_rows, r_rows = members(l_rows, l_class, ["root", *left_names], "l"), members(r_rows, r_class, ["root", *right_names], "r")
-    q, n = cut(name_table(l_class, "l", left_names)), cut(name_table(r_class, "r", right_names))
+    q, n = cut(name_table(l_class, "l", left_names, translit < 1)), cut(name_table(r_class, "r", right_names, translit < 1))
     as_ = lambda d, method, score: d.select("l", "r", F.lit(METHODS.index(method)).alias("rank"), score.alias("score"))
     found = as_(l_class.select("l", "root").join(r_class.select("r", "root"), "root"), "cr", F.lit(1.0))
     found = found.unionByName(as_(q.select("l", "norm").join(n.select("r", "norm"), "norm"), "name_exact", F.lit(1.0)))
