@@ -240,8 +240,7 @@ def candidates(a: DataFrame, b: DataFrame) -> DataFrame:
 def profiles(book: DataFrame, names: list[str], out: str) -> tuple[DataFrame, DataFrame]:
     """(book's rows with the number of their profile, the profiles with number, names, parsed, keys). A profile is a distinct pair of names and number; nulls are values."""
     distinct = numbered(book, [*names, "number"], out)
-    tasks = max(distinct.sparkSession.sparkContext.defaultParallelism, int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return members(book, distinct, [*names, "number"], out), cut(_parse(distinct.repartition(tasks), names).select(out, "number", "parsed", "keys"))
+    return members(book, distinct, [*names, "number"], out), cut(_parse(distinct, names).select(out, "number", "parsed", "keys"))
 
 
 def link(customers: DataFrame, register: DataFrame, least: float = 0.5) -> DataFrame:
