@@ -108,7 +108,7 @@ def widen(rows: DataFrame, entity: str, read_at: str, name: str, values: list[st
     if len(blocks) <= 1:  # the one block and the spine are one pivot
         wide = cells.repartition("e").groupBy("e").agg(F.max("t").alias("__last"), *map(pick, attributes))
     else:
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n = min(100_000, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))  # no table takes more buckets
         cells = laid_out(cells.repartition(n, "e"), n, ["block"])
         frames = [cells.where(F.col("block") == b).groupBy("e").agg(*map(pick, block)) for b, block in enumerate(blocks)]
         names = cells.groupBy("e").agg(F.max("t").alias("__last"))

@@ -189,15 +189,17 @@ QUERIES |= {
 
 
 def _similar(spark, d) -> DataFrame:
-    """The score of each pair of normalised names of a rare word, whatever it is."""
-    names = table(spark, d, "tender_company").where("name_normalised <> ''").select(F.lit(False).alias("arabic"), F.col("name_normalised").alias("norm")).distinct()
-    return resolve.fuzzy_pairs(names, names, 0.6)
+    """The score, whatever it is down to 0.3, of each customer's name with the register's names that hold one of its two rarest words."""
+    names = lambda t: table(spark, d, t).where("name is not null").select(text.is_arabic(F.col("name")).alias("arabic"), text.normalize_name(F.col("name")).alias("norm")).where("norm <> ''").distinct()
+    return resolve.fuzzy_pairs(names("customers"), names("classified_company"), 0.3)
 
 
 ORACLES |= {
     "jn11_ladder_names": f"{LADDER} SELECT customer_id, profile_number, CASE b.r WHEN 0 THEN 'cr' WHEN 1 THEN 'name_exact' ELSE 'name_fuzzy' END AS method, -b.s AS score, CASE WHEN b.r >= 2 THEN 1 ELSE 0 END::INT AS needs_review FROM best",
     "ag10_names_summary": f"{LADDER} SELECT count(*) AS matches, count(DISTINCT customer_id) AS entities, count(*) FILTER (WHERE b.r = 0) AS cr, count(*) FILTER (WHERE b.r = 1) AS name_exact, count(*) FILTER (WHERE b.r = 2) AS name_fuzzy, 0::BIGINT AS name_translit, count(*) FILTER (WHERE b.r >= 2) AS needs_review FROM best",
-    "sim1_similar_names": f"""WITH n AS (SELECT DISTINCT name_normalised AS norm FROM tender_company WHERE name_normalised <> ''), h AS (SELECT norm, unnest(list_distinct(string_split(norm, ' '))) AS word FROM n), df AS (SELECT word, count(*) AS df FROM h GROUP BY word),
-rare AS (SELECT norm AS query, word FROM h JOIN df USING (word) QUALIFY row_number() OVER (PARTITION BY norm ORDER BY df, word) <= 2), p AS (SELECT DISTINCT query, norm, {SORTED.format(d='', c='query')} AS a, {SORTED.format(d='', c='norm')} AS b FROM rare JOIN h USING (word) WHERE query <> norm),
-s AS (SELECT query, norm, 2.0 * {COMMON} / (len(a) + len(b)) AS score FROM p) SELECT query, norm, round(score, 3) AS score FROM s WHERE score >= 0.6""",
+    "sim1_similar_names": f"""WITH s AS (SELECT DISTINCT side, name, len(regexp_extract_all(name, '[ء-يٱ-ۓ]')) >= 2 AS arabic FROM (SELECT 'c' AS side, name FROM customers UNION ALL SELECT 'r', name FROM classified_company) WHERE name IS NOT NULL),
+n AS (SELECT DISTINCT side, arabic, {_names_sql('name')} AS norm FROM s), h AS (SELECT side, arabic, norm, unnest(list_distinct(string_split(norm, ' '))) AS word FROM n WHERE norm <> ''), df AS (SELECT arabic, word, count(*) AS df FROM h WHERE side = 'r' GROUP BY ALL),
+rare AS (SELECT arabic, norm AS query, word FROM h JOIN df USING (arabic, word) WHERE side = 'c' QUALIFY row_number() OVER (PARTITION BY arabic, norm ORDER BY df, word) <= 2),
+p AS (SELECT DISTINCT query, norm, {SORTED.format(d='', c='query')} AS a, {SORTED.format(d='', c='norm')} AS b FROM rare JOIN h USING (arabic, word) WHERE side = 'r' AND query <> norm),
+x AS (SELECT query, norm, 2.0 * {COMMON} / (len(a) + len(b)) AS score FROM p) SELECT query, norm, round(score, 3) AS score FROM x WHERE score >= 0.3""",
 }
