@@ -16,11 +16,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweir.functions import text
-from tallyweir.functions.similarity import MIN_SKELETON, indel_ratio, near_enough, sorted_words
+from tallyweir.functions.similarity import MIN_SKELETON, indel_ratio, length_bound, near_enough, sorted_words
+from tallyweir.operators.blocks import similar_pairs
 from tallyweir.session import cut
 
 FUZZY, TRANSLIT = 0.92, 0.90
 NARRATED_FUZZY, NARRATED_TRANSLIT = 0.97, 0.96
+#: Names of a block: so many, or so few where the threshold lets most pairs through.
+SIDE, FEW = 2048, 512
 METHODS = ["cr", "name_exact", "name_fuzzy", "name_translit"]
 
 
@@ -32,23 +35,31 @@ def name_table(classes: DataFrame, id_col: str, names: list[str], forms: bool =
     return named.withColumn("forms", text.skeleton_forms(F.col("raw"))) if forms else named
 
 
-def rarest_words(queries: DataFrame, names: DataFrame, words: int = 2) -> DataFrame:
-    """query, arabic, word: of each query name the words that the fewest distinct names of its script hold (ties: the word)."""
+def _rarest(queries: DataFrame, names: DataFrame, words: int) -> DataFrame:
+    """rarest_words() with unless (the query's rarest word, null for that word itself) and twice (the query is one of both scripts)."""
     held = names.select("arabic", "norm").distinct().select("arabic", F.explode(F.array_distinct(F.split("norm", " "))).alias("word")).groupBy("arabic", "word").agg(F.count("*").alias("df"))
     asked = queries.select("arabic", F.col("norm").alias("query")).distinct().select("arabic", "query", F.explode(F.array_distinct(F.split("query", " "))).alias("word"))
     order = Window.partitionBy("arabic", "query").orderBy("df", "word")  # a name's few words
-    return asked.join(held, ["arabic", "word"]).withColumn("r", F.row_number().over(order)).where(F.col("r") <= words).drop("r", "df")
+    both = Window.partitionBy("query")
+    ranked = asked.join(held, ["arabic", "word"]).withColumn("twice", F.min("arabic").over(both) != F.max("arabic").over(both)).withColumn("r", F.row_number().over(order)).withColumn("unless", F.when(F.col("r") > 1, F.first("word").over(order)))
+    return ranked.where(F.col("r") <= words).drop("r", "df")
+
+
+def rarest_words(queries: DataFrame, names: DataFrame, words: int = 2) -> DataFrame:
+    """query, arabic, word: of each query name the words that the fewest distinct names of its script hold (ties: the word)."""
+    return _rarest(queries, names, words).select("arabic", "word", "query")
 
 
 def fuzzy_pairs(queries: DataFrame, names: DataFrame, least: float) -> DataFrame:
     """query, norm, score of the distinct normalised names that share a rarest word and are similar enough, not equal."""
-    in_order = lambda c: sorted_words(F.col(c)).alias(f"{c}_words")
-    held = names.select("arabic", "norm").distinct().select("arabic", "norm", in_order("norm"), F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
-    asked = rarest_words(queries, names).select("arabic", "query", "word", in_order("query"))
-    # Most pairs go before any shuffle of pairs: by their lengths, then by a banded edit distance.
-    pairs = asked.join(held, ["arabic", "word"]).where("query <> norm").where(near_enough(F.col("query_words"), F.col("norm_words"), least)).drop("word", "arabic").distinct()
-    scored = pairs.withColumn("score", indel_ratio("query_words", "norm_words"))
-    return scored.where(F.col("score") >= least).select("query", "norm", F.round("score", 3).alias("score"))
+    held = names.select("arabic", "norm").distinct().select("arabic", F.col("norm").alias("b"), F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
+    asked = cut(_rarest(queries, names, 2).withColumnRenamed("query", "a"))
+    pairs = similar_pairs(asked.where("not twice").drop("twice"), held, ["arabic", "word"], least, SIDE if least >= 0.8 else FEW, True).select("a", "b", "score")
+    if not asked.where("twice").isEmpty():  # names of digits alone are of both scripts, and their pairs could come twice
+        both = asked.where("twice").join(held, ["arabic", "word"]).where("a <> b").select("a", "b").distinct()
+        texts = sorted_words(F.col("a")), sorted_words(F.col("b"))
+        pairs = pairs.unionByName(both.where(length_bound(*texts, least)).withColumn("score", indel_ratio(*texts)).where(F.col("score") >= least).withColumn("score", F.round("score", 3)))
+    return pairs.select(F.col("a").alias("query"), F.col("b").alias("norm"), "score")
 
 
 def _segments(n: int, parts: int) -> list[tuple[int, int]]:

@@ -11,7 +11,7 @@ from tallyweir.functions import dates, text
 from tallyweir.operators import features, lifecycle, reports, resolve
 from tallyweir.operators.history import canonical_id
 from tallyweir.plans import register_queries as q
-from tallyweir.session import table
+from tallyweir.session import cut, table
 from tallyweir.sinks import exports
 from tallyweir.sources import pages, reparse
 
@@ -190,7 +190,7 @@ QUERIES |= {
 
 def _similar(spark, d) -> DataFrame:
     """The score, whatever it is down to 0.3, of each customer's name with the register's names that hold one of its two rarest words."""
-    names = lambda t: table(spark, d, t).where("name is not null").select(text.is_arabic(F.col("name")).alias("arabic"), text.normalize_name(F.col("name")).alias("norm")).where("norm <> ''").distinct()
+    names = lambda t: cut(table(spark, d, t).where("name is not null").select(text.is_arabic(F.col("name")).alias("arabic"), text.normalize_name(F.col("name")).alias("norm")).where("norm <> ''").distinct())
     return resolve.fuzzy_pairs(names("customers"), names("classified_company"), 0.3)
 
 
