@@ -39,13 +39,6 @@ def length_bound(a: Column, b: Column, least: float) -> Column:
     return F.least(F.length(a), F.length(b)) * 2 >= (F.length(a) + F.length(b)) * least - 1e-9
 
 
-def near_enough(a: Column, b: Column, least: float, edits: int = 12) -> Column:
-    """False only where no ratio of ``least`` is possible: the edit distance, banded inside the JVM, is never above the letters outside a common subsequence. Pairs that may have more than ``edits`` of those are let through."""
-    room = F.floor((F.length(a) + F.length(b)) * (1 - least) + 1e-9)
-    distance = F.levenshtein(a, b, edits)
-    return length_bound(a, b, least) & ((room > edits) | ((distance >= 0) & (distance <= room)))
-
-
 def sorted_words(normal: Column) -> Column:
     return F.array_join(F.array_sort(F.split(normal, " ")), " ")
 

@@ -1,29 +1,26 @@
 """Resolution of a book of names against companies by a ladder of evidence: number, exact name, similar name, transliteration.
 
 Both sides are reduced to distinct (names, number) classes, so a name that fills a third of the rows is looked up once. Each
-rung is an equi-join: on the number, on name keys, on a query's two rarest words, and for transliteration on segments of
-the skeleton: two strings within the distance that the threshold allows share one of that many plus one segments, shifted
-by no more than it. Scores are taken only where the lengths allow the threshold. The best evidence per pair wins.
+rung is an equi-join on the number or on name keys, or compares names in blocks (``blocks``): those that hold one of a
+query's two rarest words, and for transliteration the skeletons of the two scripts. The best evidence per pair wins.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from math import floor
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweir.functions import text
-from tallyweir.functions.similarity import MIN_SKELETON, indel_ratio, length_bound, near_enough, sorted_words
+from tallyweir.functions.similarity import MIN_SKELETON, indel_ratio, length_bound, sorted_words
 from tallyweir.operators.blocks import similar_pairs
 from tallyweir.session import cut
 
 FUZZY, TRANSLIT = 0.92, 0.90
 NARRATED_FUZZY, NARRATED_TRANSLIT = 0.97, 0.96
-#: Names of a block: so many, or so few where the threshold lets most pairs through.
-SIDE, FEW = 2048, 512
+#: Names of a block: so many, or so few where the threshold lets most pairs through; skeletons of a block.
+SIDE, FEW, FORMS = 2048, 512, 8192
 METHODS = ["cr", "name_exact", "name_fuzzy", "name_translit"]
 
 
@@ -62,57 +59,12 @@ def fuzzy_pairs(queries: DataFrame, names: DataFrame, least: float) -> DataFrame
     return pairs.select(F.col("a").alias("query"), F.col("b").alias("norm"), "score")
 
 
-def _segments(n: int, parts: int) -> list[tuple[int, int]]:
-    """Starts and lengths of ``parts`` nearly equal segments of a string of n."""
-    base, more = divmod(n, parts)
-    out, at = [], 0
-    for i in range(parts):
-        size = base + (i >= parts - more)
-        out.append((at, size))
-        at += size
-    return out
-
-
-def _allowed(n: int, m: int, least: float) -> int:
-    """Letters that two strings of n and m may have outside their common subsequence at ratio ``least``."""
-    return floor((n + m) * (1 - least) + 1e-9)
-
-
-def segment_keys(c: Column, least: float, own: bool) -> Column:
-    """Keys of which two strings with ratio ``least`` share one. own: the segments of the string itself; else the substrings that may be a segment of another."""
-
-    @F.pandas_udf("array<string>")
-    def keys(s: pd.Series) -> pd.Series:
-        out = []
-        for x in s:
-            if not x:
-                out.append([])
-                continue
-            n, found = len(x), set()
-            longest = floor(n * (2 - least) / least + 1e-9)
-            for m in [n] if own else range(max(1, -(-n * least // (2 - least)).__int__()), longest + 1):
-                # Lengths of the other side at which the pair is possible; the distance is taken at the greatest.
-                far = max(_allowed(m, k, least) for k in range(max(1, int(m * least / (2 - least))), floor(m * (2 - least) / least + 1e-9) + 1))
-                for i, (at, size) in enumerate(_segments(m, min(m, far + 1))):
-                    for start in [at] if own else range(max(0, at - far), min(n - size, at + far) + 1):
-                        found.add(f"{m}:{i}:{x[start : start + size]}")
-            out.append(sorted(found))
-        return pd.Series(out)
-
-    return keys(c)
-
-
 def translit_pairs(queries: DataFrame, names: DataFrame, least: float) -> DataFrame:
     """query form, form, score of skeletons of the other script with ratio ``least`` or more; both of at least MIN_SKELETON letters."""
-    forms = lambda d, as_: d.select("arabic", F.explode("forms").alias(as_)).where(F.length(as_) >= MIN_SKELETON).distinct()
-    # A form is only sought among those of the other script: where that script is absent, it has no keys.
-    scripts = lambda d: [not r["arabic"] for r in d.select("arabic").distinct().collect()]
-    queries, names = queries.where(F.col("arabic").isin(scripts(names))), names.where(F.col("arabic").isin(scripts(queries)))
-    q = forms(queries, "query").withColumn("k", F.explode(segment_keys(F.col("query"), least, False)))
-    n = forms(names, "form").withColumn("k", F.explode(segment_keys(F.col("form"), least, True))).withColumn("arabic", ~F.col("arabic"))
-    pairs = q.join(n, ["arabic", "k"]).where(near_enough(F.col("query"), F.col("form"), least)).select("query", "form", "arabic").distinct()
-    scored = pairs.withColumn("score", indel_ratio(F.col("query"), F.col("form")))
-    return scored.where(F.col("score") >= least).withColumn("score", F.round("score", 3))
+    forms = lambda d, as_, arabic: d.select(arabic.alias("arabic"), F.explode("forms").alias(as_)).where(F.length(as_) >= MIN_SKELETON).distinct()
+    q = cut(forms(queries, "a", F.col("arabic"))).withColumn("unless", F.lit(None).cast("string"))
+    pairs = similar_pairs(q, cut(forms(names, "b", ~F.col("arabic"))), ["arabic"], least, FORMS)
+    return pairs.select(F.col("a").alias("query"), F.col("b").alias("form"), "arabic", "score")
 
 
 def numbered(rows: DataFrame, columns: list[str], out: str) -> DataFrame:

@@ -51,3 +51,18 @@ def test_a_word_of_all_names_is_spread_over_groups(spark, monkeypatch):
     df = blocks.similar_pairs(rows("a", 100).withColumn("unless", F.lit(None).cast("string")), rows("b", 100), ["arabic", "word"], 0.5, 10, True)
     assert [(r.ma, r.mb) for r in seen[0].collect()] == [(10, 10)]
     assert df.select("a", "b").distinct().count() == df.count() > 0
+
+
+def test_skeletons_of_many_blocks_lose_no_pair_and_are_not_keyed_by_segments(spark, monkeypatch):
+    """Each skeleton got hundreds of keys before, and the rows of a frequent key were one task's work."""
+    monkeypatch.setattr(resolve, "FORMS", 8)
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choice("bdfgklm") for _ in range(rng.randrange(6, 20))) for _ in range(60)} | {"bdfgklm" * 11})
+    asked = [slipped(rng, w) for w in words]
+    frame = lambda forms, arabic: spark.createDataFrame([(arabic, [f]) for f in forms], "arabic boolean, forms array<string>")
+    df = resolve.translit_pairs(frame(asked, True).union(frame(words[:5], False)), frame(words, False), 0.85)
+    rows = df.collect()
+    got = {(r["query"], r["form"], r["arabic"]): r["score"] for r in rows}
+    assert len(got) == len(rows)
+    assert got == {(a, b, True): blocks.rounded(s) for a in set(asked) for b in words if len(a) >= 6 and (s := plain_ratio(a, b)) >= 0.85}
+    assert "FlatMapCoGroupsInArrow" in df._jdf.queryExecution().optimizedPlan().toString()
