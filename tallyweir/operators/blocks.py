@@ -59,16 +59,19 @@ def _bits(counts: np.ndarray) -> list[tuple[int, int]]:
 
 def _in_blocks(a: list[str], b: list[str], least: float, scores: np.ndarray):
     """Positions in a and b and scores of the pairs with ratio ``least``, in pieces; for strings of at most LONGEST letters."""
-    b_order = sorted(range(len(b)), key=lambda j: len(b[j]))
-    b = [b[j] for j in b_order]
-    b_order = np.array(b_order)
     letters = [np.array(x).view(np.uint32).reshape(len(x), -1) for x in (a, b)]
-    known, code = np.unique(np.concatenate([[0], *(x.ravel() for x in letters)]), return_inverse=True)
-    code, size = code[1:].astype(np.int64), len(known)
-    a_code, b_code = code[: letters[0].size].reshape(letters[0].shape), code[letters[0].size :].reshape(letters[1].shape)
+    there = np.zeros(max(int(x.max()) for x in letters) + 1, bool)
+    for x in letters:
+        there[x] = True
+    there[0] = True  # what is behind the end
+    size, number = int(there.sum()), np.cumsum(there) - 1
+    a_code, b_code = (number[x] for x in letters)
     counts = [np.bincount((np.arange(len(x))[:, None] * size + x).ravel(), minlength=len(x) * size).reshape(len(x), size) for x in (a_code, b_code)]
     for x in counts:
-        x[:, 0] = 0  # what is behind the end
+        x[:, 0] = 0
+    a_len, b_len = (x.sum(1) for x in counts)
+    b_order = np.argsort(b_len, kind="stable")
+    b_len, b_code, counts[1] = b_len[b_order], b_code[b_order], counts[1][b_order]
     a_bits, b_bits = np.zeros(len(a), np.uint64), np.zeros(len(b), np.uint64)
     for e, (c, t) in enumerate(_bits(np.concatenate(counts))):
         for bits, x in zip((a_bits, b_bits), counts):
@@ -78,45 +81,58 @@ def _in_blocks(a: list[str], b: list[str], least: float, scores: np.ndarray):
         at[np.arange(len(a)), a_code[:, k]] |= np.uint64(1 << k)
     at[:, 0] = 0
     at, b_code = at.ravel(), np.ascontiguousarray(b_code.T)
-    a_len, b_len = np.array([len(x) for x in a]), np.array([len(x) for x in b])
-    for n in np.unique(a_len):
-        rows, rooms = np.flatnonzero(a_len == n), np.array([room(int(n), m, least) for m in range(LONGEST + 1)])[b_len]
-        fit = np.flatnonzero(rooms >= 0)
-        if not len(fit):
-            continue
-        lo, hi = int(fit[0]), int(fit[-1]) + 1  # by length, so all between fit
-        rooms, width = rooms[lo:hi].astype(np.uint8), hi - lo
-        every = max(1, STEP // width)
-        for start in range(0, len(rows), every):
-            some = rows[start : start + every]
-            near = np.flatnonzero(np.bitwise_count(a_bits[some][:, None] ^ b_bits[lo:hi]) <= rooms)
-            for first in range(0, len(near), STEP):
-                i, j = np.divmod(near[first : first + STEP], width)
-                i, j = some[i], j + lo
-                row, base = np.full(len(i), ~np.uint64(0)), i * size
-                for k in range(int(b_len[j].max())):
-                    u = row & at[base + b_code[k][j]]
-                    row = (row + u) | (row - u)
-                common = np.bitwise_count(~row & np.uint64((1 << int(n)) - 1)).astype(np.int64)
-                total = n + b_len[j]
-                kept = 2 * common / total >= least
-                yield i[kept], b_order[j[kept]], scores[total[kept], common[kept]]
-
-
-def _of_key(a: list[str], b: list[str], ia: list[int], ib: list[int], least: float, scores: np.ndarray):
-    """Positions and scores of the similar pairs of a[ia] and b[ib], in pieces."""
-    plain = lambda x, y: [tuple(map(np.array, zip(*found)))] if (found := _one_by_one(a, b, x, y, least)) else []
-    if len(ia) * len(ib) <= FEW_PAIRS:
-        yield from plain(ia, ib)
-        return
-    short = lambda s: len(s) <= LONGEST and "\0" not in s
-    sa, sb = [i for i in ia if short(a[i])], [j for j in ib if short(b[j])]
+    for n in np.unique(a_len).tolist():
+        rows, rooms = np.flatnonzero(a_len == n), np.array([room(n, m, least) for m in range(LONGEST + 1)])
+        fit = np.flatnonzero(rooms[b_len] >= 0)
+        if len(fit):
+            lo, hi = int(fit[0]), int(fit[-1]) + 1  # by length, so all between fit
+            most, width = rooms[b_len[lo:hi]].astype(np.uint8), hi - lo
+            every = max(1, STEP // width)
+            for start in range(0, len(rows), every):
+                some = rows[start : start + every]
+                near = np.flatnonzero(np.bitwise_count(a_bits[some][:, None] ^ b_bits[lo:hi]) <= most)
+                for first in range(0, len(near), STEP):
+                    i, j = np.divmod(near[first : first + STEP], width)
+                    i, j = some[i], j + lo
+                    row, base = np.full(len(i), ~np.uint64(0)), i * size
+                    for k in range(int(b_len[j].max())):
+                        u = row & at[base + b_code[k][j]]
+                        row = (row + u) | (row - u)
+                    common = np.bitwise_count(~row & np.uint64((1 << n) - 1)).astype(np.int64)
+                    total = n + b_len[j]
+                    kept = 2 * common / total >= least
+                    yield i[kept], b_order[j[kept]], scores[total[kept], common[kept]]
+
+
+def _of_key(a: list[str], b: list[str], least: float, scores: np.ndarray):
+    """Positions and scores of the similar pairs, as three arrays."""
+    short = lambda s: len(s) <= LONGEST and s != "" and "\0" not in s
+    few = len(a) * len(b) <= FEW_PAIRS
+    sa, sb = ([] if few else [k for k, s in enumerate(x) if short(s)] for x in (a, b))
+    found = []
     if sa and sb:
         at_a, at_b = np.array(sa), np.array(sb)
-        for i, j, s in _in_blocks([a[i] for i in sa], [b[j] for j in sb], least, scores):
-            yield at_a[i], at_b[j], s
-    yield from plain([i for i in ia if not short(a[i])], ib)
-    yield from plain(sa, [j for j in ib if not short(b[j])])
+        found = [(at_a[i], at_b[j], s) for i, j, s in _in_blocks([a[i] for i in sa], [b[j] for j in sb], least, scores)]
+    long_a, long_b = (range(len(x)) if few else [k for k, s in enumerate(x) if not short(s)] for x in (a, b))
+    plain = _one_by_one(a, b, long_a, range(len(b)), least) + ([] if few else _one_by_one(a, b, sa, long_b, least))
+    if plain:
+        found.append(tuple(map(np.array, zip(*plain))))
+    return [np.concatenate(x) for x in zip(*found)] if found else None
+
+
+def _allowed(a: list[str], b: list[str], unless: list[str | None], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of pairs: not of equal strings, and b doesn't hold the word that a rules out."""
+    same = {s: k for k, s in enumerate(b)}
+    kept = j != np.array([same.get(s, -1) for s in a])[i]
+    ruled = {w: k for k, w in enumerate(dict.fromkeys(w for w in unless if w is not None))}
+    if ruled:
+        holds = np.zeros((len(ruled) + 1, len(b)), bool)  # the last: none is ruled out
+        for k, s in enumerate(b):
+            for w in s.split(" "):
+                if w in ruled:
+                    holds[ruled[w], k] = True
+        kept &= ~holds[np.array([ruled.get(w, len(ruled)) for w in unless])[i], j]
+    return kept
 
 
 def _by_slot(slots: list[str]) -> dict[str, list[int]]:
@@ -157,23 +173,14 @@ def similar_pairs(left: DataFrame, right: DataFrame, on: list[str], least: float
         for slot, ia in l_slots.items():
             if not (ib := r_slots.get(slot)):
                 continue
-            gone = []
+            pairs = _of_key([a_text[k] for k in ia], [b_text[k] for k in ib], least, scores)
+            if pairs is None:
+                continue
+            i, j, score = pairs
             if words:
-                same, holding = {b[j]: j for j in ib}, {}
-                if any(unless[i] is not None for i in ia):
-                    for j in ib:
-                        for w in set(b[j].split(" ")):
-                            holding.setdefault(w, []).append(j)
-                for i in ia:
-                    gone += [i * len(b) + j for j in holding.get(unless[i], [])]
-                    if a[i] in same:
-                        gone.append(i * len(b) + same[a[i]])
-            gone = np.array(gone, np.int64)
-            for i, j, s in _of_key(a_text, b_text, ia, ib, least, scores):
-                if len(gone):
-                    kept = ~np.isin(i * len(b) + j, gone)
-                    i, j, s = i[kept], j[kept], s[kept]
-                found.append((i, j, s))
+                kept = _allowed([a[k] for k in ia], [b[k] for k in ib], [unless[k] for k in ia], i, j)
+                i, j, score = i[kept], j[kept], score[kept]
+            found.append((np.array(ia)[i], np.array(ib)[j], score))
         if not found:
             return schema.empty_table()
         i, j, s = (np.concatenate(x) for x in zip(*found))

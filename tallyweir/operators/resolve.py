@@ -20,7 +20,7 @@ from tallyweir.session import cut
 FUZZY, TRANSLIT = 0.92, 0.90
 NARRATED_FUZZY, NARRATED_TRANSLIT = 0.97, 0.96
 #: Names of a block: so many, or so few where the threshold lets most pairs through; skeletons of a block.
-SIDE, FEW, FORMS = 2048, 512, 8192
+SIDE, FEW, FORMS = 2048, 512, 16384
 METHODS = ["cr", "name_exact", "name_fuzzy", "name_translit"]
 
 
@@ -99,13 +99,14 @@ def match(left: DataFrame, right: DataFrame, left_key: list[str], right_key: lis
     found = as_(l_class.select("l", "root").join(r_class.select("r", "root"), "root"), "cr", F.lit(1.0))
     found = found.unionByName(as_(q.select("l", "norm").join(n.select("r", "norm"), "norm"), "name_exact", F.lit(1.0)))
     found = found.unionByName(as_(q.select("l", "canon").join(n.select("r", "canon"), "canon"), "name_exact", F.lit(0.99)))
+    # Each rung is cut: one after the other they take less of the driver than all in one plan.
     if fuzzy < 1:
         near = fuzzy_pairs(q, n, fuzzy)
-        found = found.unionByName(as_(q.select("l", F.col("norm").alias("query")).join(near, "query").join(n.select("r", "norm"), "norm"), "name_fuzzy", F.col("score")))
+        found = found.unionByName(cut(as_(q.select("l", F.col("norm").alias("query")).join(near, "query").join(n.select("r", "norm"), "norm"), "name_fuzzy", F.col("score"))))
     if translit < 1:
         near = translit_pairs(q, n, translit)
         spelled = lambda d, k, form, flip: d.select(k, F.explode("forms").alias(form), (~F.col("arabic") if flip else F.col("arabic")).alias("arabic"))
-        found = found.unionByName(as_(spelled(q, "l", "query", False).join(near, ["query", "arabic"]).join(spelled(n, "r", "form", True), ["form", "arabic"]), "name_translit", F.col("score")))
+        found = found.unionByName(cut(as_(spelled(q, "l", "query", False).join(near, ["query", "arabic"]).join(spelled(n, "r", "form", True), ["form", "arabic"]), "name_translit", F.col("score"))))
     best = found.groupBy("l", "r").agg(F.min(F.struct("rank", (-F.col("score")).alias("s"))).alias("b"))
     pairs = best.join(l_rows.select(*left_key, "l"), "l").join(r_rows.select(*right_key, "r"), "r").groupBy(*left_key, *right_key).agg(F.min("b").alias("b"))
     method = F.element_at(F.array(*map(F.lit, METHODS)), F.col("b.rank") + 1)

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,3 +67,34 @@ def test_skeletons_of_many_blocks_lose_no_pair_and_are_not_keyed_by_segments(spa
     assert len(got) == len(rows)
     assert got == {(a, b, True): blocks.rounded(s) for a in set(asked) for b in words if len(a) >= 6 and (s := plain_ratio(a, b)) >= 0.85}
     assert "FlatMapCoGroupsInArrow" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_block_gives_all_pairs_and_only_allowed_ones():
+    """Numpy alone: lengths from one letter to beyond a machine word, letters of both scripts, an empty string."""
+    rng = random.Random(7)
+    b = ["".join(rng.choice("bdfgklmبدف") for _ in range(rng.choice([1, 5, 9, 20, 64, 65]))) for _ in range(60)] + [""]
+    a = [slipped(rng, s) if len(s) > 4 else s for s in b[:40]] + [""]
+    for least in (0.92, 0.3):
+        i, j, s = blocks._of_key(a, b, least, blocks._all_rounded())
+        assert {(x, y): z for x, y, z in zip(i.tolist(), j.tolist(), s.tolist())} == {(x, y): blocks.rounded(r) for x in range(len(a)) for y in range(len(b)) if (r := plain_ratio(a[x], b[y])) >= least}
+        assert len(i) == len(set(zip(i.tolist(), j.tolist())))
+    names = ["x trading", "y trading works"]
+    i, j = (x.ravel() for x in np.indices((2, 2)))
+    assert blocks._allowed(["x trading", "z"], names, [None, "works"], i, j).tolist() == [False, True, True, False]
+
+
+@pytest.mark.parametrize("translit", [0.9, 1.0])
+def test_the_ladder_and_its_summary_are_the_same_in_blocks_of_any_size(spark, monkeypatch, translit):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("bdfgklmnrst") + rng.choice("aiu") for _ in range(6))
+    arabic = str.maketrans({"b": "ب", "d": "د", "f": "ف", "g": "ج", "k": "ك", "l": "ل", "m": "م", "n": "ن", "r": "ر", "s": "س", "t": "ت", "a": "ا", "i": "ي", "u": "و"})
+    names = [f"{word()} {word()} trading" for _ in range(60)]
+    left = [(str(k), slipped(rng, n), n[:-8].translate(arabic) if k % 3 == 0 else None, None) for k, n in enumerate(names)]
+    frames = spark.createDataFrame(left, "customer_id string, name string, name_ar string, cr_number string"), spark.createDataFrame([(str(k), n, None) for k, n in enumerate(names)], "rid string, name string, cr_number string")
+    run = lambda: resolve.match(*frames, ["customer_id"], ["rid"], ["name", "name_ar"], ["name"], translit=translit)
+    whole = run().collect()
+    for side in ("SIDE", "FORMS"):
+        monkeypatch.setattr(resolve, side, 7)
+    parts = run()
+    assert sorted(parts.collect()) == sorted(whole) and len(whole) > 40
+    assert resolve.match_summary(parts, "customer_id").first().matches == len(whole)
