@@ -15,31 +15,31 @@ from pyspark.sql import functions as F
 from tallyweir.functions import text
 from tallyweir.functions.similarity import MIN_SKELETON, indel_ratio, length_bound, sorted_words
 from tallyweir.operators.blocks import similar_pairs
-from tallyweir.session import cut
+from tallyweir.session import cut, written
 
 FUZZY, TRANSLIT = 0.92, 0.90
 NARRATED_FUZZY, NARRATED_TRANSLIT = 0.97, 0.96
 #: Names of a block: so many, or so few where the threshold lets most pairs through; skeletons of a block.
-SIDE, FEW, FORMS = 2048, 512, 16384
+SIDE, FEW, FORMS = 65536, 512, 16384
 METHODS = ["cr", "name_exact", "name_fuzzy", "name_translit"]
 
 
 def name_table(classes: DataFrame, id_col: str, names: list[str], forms: bool = True) -> DataFrame:
-    """id, raw, norm, canon, arabic, forms (if asked for) of each distinct non-empty name of a class."""
+    """id, norm, canon, arabic, forms (if asked for) of each distinct non-empty name of a class, written."""
     raw = classes.select(id_col, F.explode(F.array_distinct(F.array_compact(F.array(*names)))).alias("raw"))
-    normal = raw.withColumn("norm", text.normalize_name(F.col("raw"))).where("norm <> ''")
-    named = normal.withColumn("canon", text.key_of(F.col("norm"))).withColumn("arabic", text.is_arabic(F.col("raw")))
-    return named.withColumn("forms", text.skeleton_forms(F.col("raw"))) if forms else named
+    named = raw.withColumn("norm", text.normalize_name(F.col("raw"))).withColumn("canon", text.key_of(F.col("norm"))).withColumn("arabic", text.is_arabic(F.col("raw")))
+    # Empty ones are left out after it is written: before, each name would be normalised for the test and again for its value.
+    return written((named.withColumn("forms", text.skeleton_forms(F.col("raw"))) if forms else named).drop("raw"), "names", compression="zstd").where("norm <> ''")
 
 
 def _rarest(queries: DataFrame, names: DataFrame, words: int) -> DataFrame:
-    """rarest_words() with unless (the query's rarest word, null for that word itself) and twice (the query is one of both scripts)."""
+    """rarest_words() with unless (the query's rarest word, null for that word itself), twice (the query is one of both scripts) and df (the names that hold the word)."""
     held = names.select("arabic", "norm").distinct().select("arabic", F.explode(F.array_distinct(F.split("norm", " "))).alias("word")).groupBy("arabic", "word").agg(F.count("*").alias("df"))
-    asked = queries.select("arabic", F.col("norm").alias("query")).distinct().select("arabic", "query", F.explode(F.array_distinct(F.split("query", " "))).alias("word"))
+    scripts = queries.groupBy(F.col("norm").alias("query")).agg(F.collect_set("arabic").alias("scripts"))  # two at most
+    asked = scripts.select("query", (F.size("scripts") > 1).alias("twice"), F.explode("scripts").alias("arabic")).select("arabic", "query", "twice", F.explode(F.array_distinct(F.split("query", " "))).alias("word"))
     order = Window.partitionBy("arabic", "query").orderBy("df", "word")  # a name's few words
-    both = Window.partitionBy("query")
-    ranked = asked.join(held, ["arabic", "word"]).withColumn("twice", F.min("arabic").over(both) != F.max("arabic").over(both)).withColumn("r", F.row_number().over(order)).withColumn("unless", F.when(F.col("r") > 1, F.first("word").over(order)))
-    return ranked.where(F.col("r") <= words).drop("r", "df")
+    ranked = asked.join(held, ["arabic", "word"]).withColumn("r", F.row_number().over(order)).withColumn("unless", F.when(F.col("r") > 1, F.first("word").over(order)))
+    return ranked.where(F.col("r") <= words).drop("r")
 
 
 def rarest_words(queries: DataFrame, names: DataFrame, words: int = 2) -> DataFrame:
@@ -49,9 +49,10 @@ def rarest_words(queries: DataFrame, names: DataFrame, words: int = 2) -> DataFr
 
 def fuzzy_pairs(queries: DataFrame, names: DataFrame, least: float) -> DataFrame:
     """query, norm, score of the distinct normalised names that share a rarest word and are similar enough, not equal."""
-    held = names.select("arabic", "norm").distinct().select("arabic", F.col("norm").alias("b"), F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
-    asked = cut(_rarest(queries, names, 2).withColumnRenamed("query", "a"))
-    pairs = similar_pairs(asked.where("not twice").drop("twice"), held, ["arabic", "word"], least, SIDE if least >= 0.8 else FEW, True).select("a", "b", "score")
+    names = written(names.select("arabic", "norm").distinct(), "norms", compression="zstd")
+    held = names.select("arabic", F.col("norm").alias("b"), F.explode(F.array_distinct(F.split("norm", " "))).alias("word"))
+    asked = written(_rarest(queries, names, 2).withColumnRenamed("query", "a"), "asked", compression="zstd")
+    pairs = similar_pairs(asked.where("not twice").drop("twice"), held, ["arabic", "word"], least, SIDE if least >= 0.8 else FEW, True, "df").select("a", "b", "score")
     if not asked.where("twice").isEmpty():  # names of digits alone are of both scripts, and their pairs could come twice
         both = asked.where("twice").join(held, ["arabic", "word"]).where("a <> b").select("a", "b").distinct()
         texts = sorted_words(F.col("a")), sorted_words(F.col("b"))
@@ -67,6 +68,12 @@ def translit_pairs(queries: DataFrame, names: DataFrame, least: float) -> DataFr
     return pairs.select(F.col("a").alias("query"), F.col("b").alias("form"), "arabic", "score")
 
 
+def class_digest(columns: list[str]):
+    """128 bits that tell rows with equal texts in columns from all others, nulls from ''; two classes agree by chance once in about 2^128."""
+    said = [F.coalesce(F.concat(F.octet_length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in columns]
+    return F.unhex(F.md5(F.concat(*said)))
+
+
 def numbered(rows: DataFrame, columns: list[str], out: str) -> DataFrame:
     """The distinct values of columns with a number of their own; cut, so that the numbers stay. Nulls are values like others, and no two classes meet by chance.
 
@@ -90,15 +97,20 @@ def match(left: DataFrame, right: DataFrame, left_key: list[str], right_key: lis
     left, right: their keys, names and cr_number. A threshold of 1 or more leaves its rung out. Null and empty names and
     numbers match nothing; repeated rows count once; a key whose rows differ is matched by any of them.
     """
-    l_rows = left.select(*left_key, *left_names, text.cr_root(F.col("cr_number"), qfc).alias("root")).distinct()
-    r_rows = right.select(*right_key, *right_names, text.cr_root(F.col("cr_number"), qfc).alias("root")).distinct()
-    l_class, r_class = numbered(l_rows, ["root", *left_names], "l"), numbered(r_rows, ["root", *right_names], "r")
-    l_rows, r_rows = members(l_rows, l_class, ["root", *left_names], "l"), members(r_rows, r_class, ["root", *right_names], "r")
-    q, n = cut(name_table(l_class, "l", left_names, translit < 1)), cut(name_table(r_class, "r", right_names, translit < 1))
+    l_all = left.select(*left_key, *left_names, text.cr_root(F.col("cr_number"), qfc).alias("root")).withColumn("l", class_digest(["root", *left_names]))
+    r_all = right.select(*right_key, *right_names, text.cr_root(F.col("cr_number"), qfc).alias("root")).withColumn("r", class_digest(["root", *right_names]))
+    l_rows, r_rows = (written(d.select(*key, c, "root").distinct(), "rows", compression="zstd") for d, key, c in ((l_all, left_key, "l"), (r_all, right_key, "r")))
+    spark = left.sparkSession
+    # Skeletons cost far more than the names' bytes tell, so they are spread over as many parts as the session shuffles into.
+    spread = lambda d: d.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))) if translit < 1 else d
+    q, n = (name_table(spread(d.select(c, *names).distinct()), c, names, translit < 1) for d, c, names in ((l_all, "l", left_names), (r_all, "r", right_names)))
     as_ = lambda d, method, score: d.select("l", "r", F.lit(METHODS.index(method)).alias("rank"), score.alias("score"))
-    found = as_(l_class.select("l", "root").join(r_class.select("r", "root"), "root"), "cr", F.lit(1.0))
-    found = found.unionByName(as_(q.select("l", "norm").join(n.select("r", "norm"), "norm"), "name_exact", F.lit(1.0)))
-    found = found.unionByName(as_(q.select("l", "canon").join(n.select("r", "canon"), "canon"), "name_exact", F.lit(0.99)))
+    numbers = lambda d, c: d.select(c, "root").where("root is not null").distinct()
+    found = as_(numbers(l_rows, "l").join(numbers(r_rows, "r"), "root"), "cr", F.lit(1.0))
+    l_rows, r_rows = l_rows.drop("root"), r_rows.drop("root")
+    # Equal forms have equal keys, so one join finds both.
+    alike = q.select("l", F.col("norm").alias("query"), "canon").join(n.select("r", "norm", "canon"), "canon")
+    found = found.unionByName(as_(alike, "name_exact", F.when(F.col("query") == F.col("norm"), 1.0).otherwise(0.99)))
     # Each rung is cut: one after the other they take less of the driver than all in one plan.
     if fuzzy < 1:
         near = fuzzy_pairs(q, n, fuzzy)
