@@ -66,3 +66,16 @@ def test_rows_are_one_class_only_with_equal_texts(spark):
     said = [("a", "b"), ("a", None), (None, "a"), ("", None), (None, ""), (None, None), ("1:a", ""), ("a", ""), ("a1:b", None)]
     rows = spark.createDataFrame(said * 2, "x string, y string").select(resolve.class_digest(["x", "y"]).alias("c"))
     assert rows.distinct().count() == len(said)
+
+
+def test_the_summary_counts_each_pair_once_by_its_best_evidence(spark, monkeypatch):
+    """By cells and in small blocks, with repeated rows, keys of several rows, and names in both orders of words; no class is numbered and joined back."""
+    monkeypatch.setattr(resolve, "SIDE", 3)
+    monkeypatch.setattr(blocks, "MANY_PAIRS", 0)
+    monkeypatch.setattr(resolve, "numbered", None)
+    left = [("1", "Gama Beta Trading", None, "5"), ("1", "Gama Beta Trading", None, "5"), ("1", "Delta Works", None, None), ("2", "Trading Gamma Beta", None, None), ("3", "", None, None), (None, None, None, None)]
+    right = [("a", "Gamma Beta Trading WLL", "5"), ("a", "Gamma Beta Trading", None), ("b", "Gamma Beta Trading", None), ("c", "Deltta Works", None), ("d", None, None)]
+    frames = spark.createDataFrame(left, "customer_id string, name string, name_ar string, cr_number string"), spark.createDataFrame(right, "rid string, name string, cr_number string")
+    m = resolve.match(*frames, ["customer_id"], ["rid"], ["name", "name_ar"], ["name"], translit=1.0)
+    assert {(r.customer_id, r.rid): (r.method, r.score) for r in m.collect()} == {("1", "a"): ("cr", 1.0), ("1", "b"): ("name_fuzzy", 0.971), ("1", "c"): ("name_fuzzy", 0.957), ("2", "a"): ("name_exact", 0.99), ("2", "b"): ("name_exact", 0.99)}
+    assert resolve.match_summary(m, "customer_id").first().asDict() == {"matches": 5, "entities": 2, "cr": 1, "name_exact": 2, "name_fuzzy": 2, "name_translit": 0, "needs_review": 2}
