@@ -48,8 +48,8 @@ STATE_RANK = {"future": 0, "published": 1, "closed": 2, "technical": 3, "financi
 REJECTION_MARKS = ["The requested URL was rejected", "Your support ID is"]
 # End of the fixed values.
 
-#: What each of NOISE needs, in ASCII texts: none of them finds anything where this doesn't.
-NOISY = "(?i)ref|trf|transfer|payment|remittance|salary|cheque|chq|value|inv|[0-9]{6}|qa[0-9]{2}"
+#: What each of NOISE needs, in ASCII texts in small letters: none of them finds anything where this doesn't.
+NOISY = "re(?:f|mittance)|tr(?:f|ansfer)|payment|salary|ch(?:eque|q)|value|inv|[0-9]{6}|qa[0-9]{2}"
 ARABIC_DIGITS = ("٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹", "0123456789" * 2)
 
 
@@ -74,9 +74,13 @@ def one_of(words: list[str]) -> str:
     return "(?:" + "|".join(words) + ")"
 
 
+def is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.char_length(c)
+
+
 def is_arabic(c: Column) -> Column:
     """At least two Arabic letters; false for null."""
-    return F.coalesce(c.rlike(f"{ARABIC_LETTER}[^{ARABIC_LETTER[1:]}*{ARABIC_LETTER}"), F.lit(False))
+    return F.coalesce(~is_ascii(c) & c.rlike(f"{ARABIC_LETTER}[^{ARABIC_LETTER[1:]}*{ARABIC_LETTER}"), F.lit(False))
 
 
 def strip_accents(c: Column) -> Column:
@@ -125,14 +129,15 @@ def normalize_latin(c: Column, cheap: bool = False) -> Column:
     for pattern in NOISE:
         s = F.regexp_replace(s, "(?U)" + pattern, " ")
     if cheap:
-        s = F.when(c.rlike(r"^[\x00-\x7f]*\z") & ~c.rlike(NOISY), F.lower(c)).otherwise(s)
-    s = F.regexp_replace(s, r"(?<=\b[a-z])\.(?=[a-z]\b)", "")
+        s = F.when(is_ascii(c) & ~F.lower(c).rlike(NOISY), F.lower(c)).otherwise(s)
+    # What stands between is sought first, then looked around: most letters of a name are passed over.
+    s = F.regexp_replace(s, r"\.(?<=\b[a-z]\.)(?=[a-z]\b)", "")
     s = F.regexp_replace(s, "[^a-z0-9 ]+", " ")
-    s = F.trim(F.regexp_replace(F.regexp_replace(s, r"(?<=\b[a-z]) (?=[a-z]\b)", ""), " +", " "))
+    s = F.trim(F.regexp_replace(s, r" (?<=\b[a-z] )(?=[a-z]\b)", ""))
     short = literal_map(ABBREVIATIONS)
-    s = F.array_join(F.transform(F.split(s, " "), lambda w: F.coalesce(short[w], w)), " ")
+    s = F.array_join(F.transform(F.split(s, " +"), lambda w: F.when(w.isin(*ABBREVIATIONS), short[w]).otherwise(w)), " ")
     s = F.regexp_replace(s, f"(?:(?:^| ){one_of(LEGAL)})+$", "")
-    return F.trim(F.regexp_replace(F.regexp_replace(s, rf"(?<![^ ]){one_of(STOPWORDS)}(?![^ ])", ""), " +", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(s, rf"(?<![^ ]){one_of(STOPWORDS)}(?![^ ])", ""), "  +", " "))
 
 
 def normalize_name(c: Column) -> Column:
@@ -142,7 +147,7 @@ def normalize_name(c: Column) -> Column:
 
 def key_of(normal: Column) -> Column:
     """Sorted distinct words of a normalised name."""
-    return F.array_join(F.array_sort(F.array_distinct(F.split(normal, " "))), " ")
+    return F.array_join(F.sort_array(F.array_distinct(F.split(normal, " "))), " ")
 
 
 def canonical_key(c: Column) -> Column:

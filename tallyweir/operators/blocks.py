@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweir.functions.similarity import plain_ratio
-from tallyweir.session import cut
+from tallyweir.session import among, cut, written
 
 #: Strings of a group of small keys; pairs that are looked at in one step; keys so few that their sizes are broadcast.
 GROUP_ROWS, STEP, FEW_KEYS = 20_000, 1 << 17, 2_000
@@ -237,14 +237,17 @@ def similar_pairs(left: DataFrame, right: DataFrame, on: list[str], least: float
     held: a column of left with the number of right rows of its key, if that is known.
     """
     asked = left.groupBy(*on).agg(F.count("*").alias("na"), *([F.max(held).alias("nb")] if held else []))
-    keys = cut((asked if held else asked.join(right.groupBy(*on).agg(F.count("*").alias("nb")), on)).select(*on, "na", "nb", F.ceil(F.col("na") / side).alias("ma"), F.ceil(F.col("nb") / side).alias("mb")))
+    keys = written((asked if held else asked.join(right.groupBy(*on).agg(F.count("*").alias("nb")), on)).select(*on, "na", "nb", F.ceil(F.col("na") / side).alias("ma"), F.ceil(F.col("nb") / side).alias("mb")), "keys", compression="zstd")
     small = F.col("ma") * F.col("mb") == 1
     of_small = lambda x: F.coalesce(F.sum(F.when(small, x)), F.lit(0))
     known, pairs, rows = keys.agg(F.count("*"), of_small(F.col("na").cast("double") * F.col("nb")), of_small(F.col("na") + F.col("nb"))).first()
     groups = 1 + max(int(pairs // side**2), rows // GROUP_ROWS)
     put = keys.select(*on, "ma", "mb")
-    # Of many keys only the few of more than one block are told; rows of keys that the other side lacks meet nothing.
-    put, how = (F.broadcast(put), "inner") if known <= FEW_KEYS else (F.broadcast(put.where(~small)), "left")
+    # Of many keys only the few of more than one block are told; most rows of keys that the other side lacks are left out first.
+    how = "inner" if known <= FEW_KEYS else "left"
+    put = F.broadcast(cut(put if how == "inner" else put.where(~small)))
+    if how == "left":
+        right = among(right, on, keys.select(*on))
     slot = F.concat_ws(" ", "i", "j", *(F.col(c).cast("string") for c in on))
     unit = F.when(small, F.pmod(F.xxhash64(*on), F.lit(groups))).otherwise(F.xxhash64("slot"))
     dealt = lambda d, c, own, m, other, of: d.join(put, on, how).fillna(1, ["ma", "mb"]).withColumn(own, F.pmod(F.xxhash64(c), F.col(m))).withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(of) - 1))).withColumn("slot", slot).withColumn("unit", unit)
@@ -257,11 +260,14 @@ def similar_pairs(left: DataFrame, right: DataFrame, on: list[str], least: float
     schema = pa.schema([("arabic", pa.bool_()), ("a", pa.string()), ("b", pa.string()), ("score", pa.float64())])
 
     def compare(l: pa.Table, r: pa.Table) -> pa.Table:
+        slots = pa.concat_arrays([x for t in (l, r) for x in t["slot"].chunks]).dictionary_encode().indices.to_numpy().astype(np.int64)
+        a_slot, b_slot = slots[: len(l)], slots[len(l) :]
+        met = np.isin(b_slot, a_slot, kind="table") if len(l) and len(r) else np.zeros(len(r), bool)
+        r, b_slot = r.select(["b"]).filter(pa.array(met)), b_slot[met]
         a, b, unless = l["a"].to_pylist(), r["b"].to_pylist(), l["unless"].to_pylist()
         in_order = (lambda x: [" ".join(sorted(s.split(" "))) for s in x]) if words else (lambda x: x)
         a_text, b_text = in_order(a), in_order(b)
-        slots = pa.concat_arrays([x for t in (l, r) for x in t["slot"].chunks]).dictionary_encode().indices.to_numpy().astype(np.int64)
-        found = _of_slots(a_text, b_text, slots[: len(a)], slots[len(a) :], least, scores) if a and b else None
+        found = _of_slots(a_text, b_text, a_slot, b_slot, least, scores) if a and b else None
         if found is None:
             return schema.empty_table()
         i, j, s = found

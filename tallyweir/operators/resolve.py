@@ -1,7 +1,7 @@
 """Resolution of a book of names against companies by a ladder of evidence: number, exact name, similar name, transliteration.
 
-Both sides are reduced to distinct (names, number) classes, so a name that fills a third of the rows is looked up once. Each
-rung is an equi-join on the number or on name keys, or compares names in blocks (``blocks``): those that hold one of a
+Each side is read once and its names are normalised once; distinct normalised names are compared, so a name that fills a third
+of the rows is looked up once. Each rung is an equi-join on the number or on name keys, or compares names in blocks (``blocks``): those that hold one of a
 query's two rarest words, and for transliteration the skeletons of the two scripts. The best evidence per pair wins.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallyweir.functions import text
 from tallyweir.functions.similarity import MIN_SKELETON, indel_ratio, length_bound, sorted_words
 from tallyweir.operators.blocks import similar_pairs
-from tallyweir.session import cut, written
+from tallyweir.session import among, cut, written
 
 FUZZY, TRANSLIT = 0.92, 0.90
 NARRATED_FUZZY, NARRATED_TRANSLIT = 0.97, 0.96
@@ -24,19 +24,26 @@ SIDE, FEW, FORMS = 65536, 512, 16384
 METHODS = ["cr", "name_exact", "name_fuzzy", "name_translit"]
 
 
-def name_table(classes: DataFrame, id_col: str, names: list[str], forms: bool = True) -> DataFrame:
-    """id, norm, canon, arabic, forms (if asked for) of each distinct non-empty name of a class, written."""
-    raw = classes.select(id_col, F.explode(F.array_distinct(F.array_compact(F.array(*names)))).alias("raw"))
+def name_table(rows: DataFrame, id_col: str, names: list[str], forms: bool = True, number: str | None = None) -> DataFrame:
+    """id, norm, canon, arabic, forms (if asked for) of each distinct non-empty name of a row, written. With a number, that of the row too, in one of its rows or in one without a name."""
+    listed = F.array_distinct(F.array_compact(F.array(*names)))
+    if number is None:
+        raw = rows.select(id_col, F.explode(listed).alias("raw"))
+    else:
+        once = F.when(F.coalesce(F.col("at"), F.lit(0)) == 0, F.col(number)).alias(number)
+        raw = rows.select(id_col, number, F.posexplode_outer(listed).alias("at", "raw")).select(id_col, once, "raw").where(F.col("raw").isNotNull() | F.col(number).isNotNull())
     named = raw.withColumn("norm", text.normalize_name(F.col("raw"))).withColumn("canon", text.key_of(F.col("norm"))).withColumn("arabic", text.is_arabic(F.col("raw")))
     # Empty ones are left out after it is written: before, each name would be normalised for the test and again for its value.
-    return written((named.withColumn("forms", text.skeleton_forms(F.col("raw"))) if forms else named).drop("raw"), "names", compression="zstd").where("norm <> ''")
+    done = written((named.withColumn("forms", text.skeleton_forms(F.col("raw"))) if forms else named).drop("raw"), "names", compression="zstd")
+    return done if number else done.where("norm <> ''")
 
 
 def _rarest(queries: DataFrame, names: DataFrame, words: int) -> DataFrame:
-    """rarest_words() with unless (the query's rarest word, null for that word itself), twice (the query is one of both scripts) and df (the names that hold the word)."""
-    held = names.select("arabic", "norm").distinct().select("arabic", F.explode(F.array_distinct(F.split("norm", " "))).alias("word")).groupBy("arabic", "word").agg(F.count("*").alias("df"))
-    scripts = queries.groupBy(F.col("norm").alias("query")).agg(F.collect_set("arabic").alias("scripts"))  # two at most
-    asked = scripts.select("query", (F.size("scripts") > 1).alias("twice"), F.explode("scripts").alias("arabic")).select("arabic", "query", "twice", F.explode(F.array_distinct(F.split("query", " "))).alias("word"))
+    """rarest_words() with unless (the query's rarest word, null for that word itself), twice (the query is one of both scripts) and df (the names that hold the word). names are distinct."""
+    held = names.select("arabic", F.explode(F.array_distinct(F.split("norm", " "))).alias("word")).groupBy("arabic", "word").agg(F.count("*").alias("df"))
+    scripts = queries.groupBy(F.col("norm").alias("query")).agg(F.min("arabic").alias("low"), F.max("arabic").alias("high"))
+    twice = F.col("low") != F.col("high")
+    asked = scripts.select("query", twice.alias("twice"), F.explode(F.when(twice, F.array("low", "high")).otherwise(F.array("low"))).alias("arabic")).select("arabic", "query", "twice", F.explode(F.array_distinct(F.split("query", " "))).alias("word"))
     order = Window.partitionBy("arabic", "query").orderBy("df", "word")  # a name's few words
     ranked = asked.join(held, ["arabic", "word"]).withColumn("r", F.row_number().over(order)).withColumn("unless", F.when(F.col("r") > 1, F.first("word").over(order)))
     return ranked.where(F.col("r") <= words).drop("r")
@@ -44,7 +51,7 @@ def _rarest(queries: DataFrame, names: DataFrame, words: int) -> DataFrame:
 
 def rarest_words(queries: DataFrame, names: DataFrame, words: int = 2) -> DataFrame:
     """query, arabic, word: of each query name the words that the fewest distinct names of its script hold (ties: the word)."""
-    return _rarest(queries, names, words).select("arabic", "word", "query")
+    return _rarest(queries, names.select("arabic", "norm").distinct(), words).select("arabic", "word", "query")
 
 
 def fuzzy_pairs(queries: DataFrame, names: DataFrame, least: float) -> DataFrame:
@@ -91,38 +98,44 @@ def members(rows: DataFrame, classes: DataFrame, columns: list[str], out: str) -
     return rows.join(said, same).drop(*(f"__{c}" for c in columns))
 
 
+def _key(columns: list[str]):
+    return F.col(columns[0]) if len(columns) == 1 else F.struct(*columns)
+
+
 def match(left: DataFrame, right: DataFrame, left_key: list[str], right_key: list[str], left_names: list[str], right_names: list[str], fuzzy: float = FUZZY, translit: float = TRANSLIT, qfc: bool = False) -> DataFrame:
     """left_key, right_key, method, score, needs_review: of each pair with any evidence the best (method first, then score).
 
     left, right: their keys, names and cr_number. A threshold of 1 or more leaves its rung out. Null and empty names and
     numbers match nothing; repeated rows count once; a key whose rows differ is matched by any of them.
     """
-    l_all = left.select(*left_key, *left_names, text.cr_root(F.col("cr_number"), qfc).alias("root")).withColumn("l", class_digest(["root", *left_names]))
-    r_all = right.select(*right_key, *right_names, text.cr_root(F.col("cr_number"), qfc).alias("root")).withColumn("r", class_digest(["root", *right_names]))
-    l_rows, r_rows = (written(d.select(*key, c, "root").distinct(), "rows", compression="zstd") for d, key, c in ((l_all, left_key, "l"), (r_all, right_key, "r")))
+    # Repeated rows go first, else a pair of them would be found as often as one is repeated times the other.
+    sides = [(d.select(_key(key).alias(c), *names, "cr_number").distinct(), c, names) for d, key, c, names in ((left, left_key, "l", left_names), (right, right_key, "r", right_names))]
     spark = left.sparkSession
     # Skeletons cost far more than the names' bytes tell, so they are spread over as many parts as the session shuffles into.
     spread = lambda d: d.repartition(max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))) if translit < 1 else d
-    q, n = (name_table(spread(d.select(c, *names).distinct()), c, names, translit < 1) for d, c, names in ((l_all, "l", left_names), (r_all, "r", right_names)))
-    as_ = lambda d, method, score: d.select("l", "r", F.lit(METHODS.index(method)).alias("rank"), score.alias("score"))
+    l_all, r_all = (name_table(spread(d.withColumn("root", text.cr_root(F.col("cr_number"), qfc))), c, names, translit < 1, "root") for d, c, names in sides)
+    q, n = (d.where("norm <> ''") for d in (l_all, r_all))
+    # The best evidence of a pair is the least: its rank, then its score, of three places.
+    as_ = lambda d, method, score: d.select("l", "r", (F.lit(2000 * METHODS.index(method) + 1000) - F.round(score * 1000).cast("int")).alias("evidence"))
     numbers = lambda d, c: d.select(c, "root").where("root is not null").distinct()
-    found = as_(numbers(l_rows, "l").join(numbers(r_rows, "r"), "root"), "cr", F.lit(1.0))
-    l_rows, r_rows = l_rows.drop("root"), r_rows.drop("root")
+    found = as_(numbers(l_all, "l").join(numbers(r_all, "r"), "root"), "cr", F.lit(1.0))
     # Equal forms have equal keys, so one join finds both.
-    alike = q.select("l", F.col("norm").alias("query"), "canon").join(n.select("r", "norm", "canon"), "canon")
+    q_keys, n_keys = q.select("l", F.col("norm").alias("query"), "canon"), n.select("r", "norm", "canon")
+    alike = among(q_keys, ["canon"], n_keys.select("canon")).join(among(n_keys, ["canon"], q_keys.select("canon")), "canon")
     found = found.unionByName(as_(alike, "name_exact", F.when(F.col("query") == F.col("norm"), 1.0).otherwise(0.99)))
-    # Each rung is cut: one after the other they take less of the driver than all in one plan.
+    # Each rung is written: one after the other they take less of the driver than all in one plan.
     if fuzzy < 1:
-        near = fuzzy_pairs(q, n, fuzzy)
-        found = found.unionByName(cut(as_(q.select("l", F.col("norm").alias("query")).join(near, "query").join(n.select("r", "norm"), "norm"), "name_fuzzy", F.col("score"))))
+        near = written(fuzzy_pairs(q, n, fuzzy), "near", compression="zstd")
+        asked, held = among(q.select("l", F.col("norm").alias("query")), ["query"], near.select("query")), among(n.select("r", "norm"), ["norm"], near.select("norm"))
+        found = found.unionByName(as_(asked.join(near, "query").join(held, "norm"), "name_fuzzy", F.col("score")))
     if translit < 1:
         near = translit_pairs(q, n, translit)
         spelled = lambda d, k, form, flip: d.select(k, F.explode("forms").alias(form), (~F.col("arabic") if flip else F.col("arabic")).alias("arabic"))
         found = found.unionByName(cut(as_(spelled(q, "l", "query", False).join(near, ["query", "arabic"]).join(spelled(n, "r", "form", True), ["form", "arabic"]), "name_translit", F.col("score"))))
-    best = found.groupBy("l", "r").agg(F.min(F.struct("rank", (-F.col("score")).alias("s"))).alias("b"))
-    pairs = best.join(l_rows.select(*left_key, "l"), "l").join(r_rows.select(*right_key, "r"), "r").groupBy(*left_key, *right_key).agg(F.min("b").alias("b"))
-    method = F.element_at(F.array(*map(F.lit, METHODS)), F.col("b.rank") + 1)
-    return pairs.select(*left_key, *right_key, method.alias("method"), (-F.col("b.s")).alias("score"), (F.col("b.rank") >= 2).cast("int").alias("needs_review"))
+    rank, score = F.floor(F.col("evidence") / 2000).cast("int"), (1000 - F.pmod(F.col("evidence"), F.lit(2000))) / 1000
+    pairs = found.groupBy("l", "r").agg(F.min("evidence").alias("evidence"))
+    named = [F.col(k if len(keys) == 1 else f"{k}.{name}").alias(name) for keys, k in ((left_key, "l"), (right_key, "r")) for name in keys]
+    return pairs.select(*named, F.element_at(F.array(*map(F.lit, METHODS)), rank + 1).alias("method"), score.alias("score"), (rank >= 2).cast("int").alias("needs_review"))
 
 
 def parties(book: DataFrame, counterparties: DataFrame) -> DataFrame:

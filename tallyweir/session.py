@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A side of at most this many rows and bytes may be broadcast by small_side().
 BROADCAST_ROWS, BROADCAST_BYTES = 20_000, 8_000_000
+#: Bits of among(), broadcast 64 in a row.
+MARKS = 1 << 23
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,3 +73,15 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_
     """Marks df for broadcast if it has at most ``rows`` rows and ``size`` bytes as JSON, measured first; else the join shuffles (AQE then splits skew). df should be cheap to read twice: a cut or a small table."""
     n, held = df.limit(rows + 1).agg(F.count("*"), F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()
     return F.broadcast(df) if n <= rows and (held or 0) <= size else df
+
+
+def among(df: DataFrame, on: list[str], keys: DataFrame) -> DataFrame:
+    """Rows of df whose ``on`` may be among the keys (columns in that order and of those types): all whose ``on`` is, and of the others those whose hash falls on a key's.
+
+    For a join that comes after: what has no partner needs no shuffle. At most MARKS bits are broadcast, however many keys there are.
+    """
+    place = lambda columns: F.pmod(F.xxhash64(*columns), F.lit(MARKS))
+    mark = F.expr("shiftleft(1L, cast(__bit & 63 as int))")
+    marks = keys.select(place(keys.columns).alias("__bit")).groupBy(F.shiftright("__bit", 6).alias("__at")).agg(F.bit_or(mark).alias("__marks"))
+    placed = df.withColumn("__bit", place(on)).withColumn("__at", F.shiftright("__bit", 6))
+    return placed.join(F.broadcast(marks), "__at").where(F.col("__marks").bitwiseAND(mark) != 0).select(*df.columns)
