@@ -5,7 +5,7 @@ its own, so a key that a tenth of all strings hold is spread over tasks; small k
 at once. Inside a group most pairs go by one 64-bit word per string: bits tell whether a letter occurs so many times, and no
 two strings differ in more bits than they have letters outside their longest common subsequence. Where a key has many pairs,
 strings are put into cells by how many letters of three groups of letters they have, and cells that differ in more letters
-never meet. The others get that subsequence, bit-parallel for many pairs at once. Nothing is left out: the result is that of
+never meet. Another word of bits tells which letters stand side by side. The others get that subsequence, bit-parallel for many pairs at once. Nothing is left out: the result is that of
 all pairs.
 """
 
@@ -76,6 +76,15 @@ def _coded(strings: list[list[str]]) -> tuple[list[np.ndarray], list[np.ndarray]
     return codes, counts, size
 
 
+def _grams(codes: np.ndarray) -> np.ndarray:
+    """64 bits by string that tell which pairs of neighbouring letters it has, each odd or even times: a letter put in or left out changes at most three."""
+    out = np.zeros(len(codes), np.uint64)
+    for k in range(codes.shape[1] - 1):
+        x, y = codes[:, k], codes[:, k + 1]
+        out ^= (y != 0).astype(np.uint64) << ((13 * x + 37 * y) & 63).astype(np.uint64)
+    return out
+
+
 def _cells(counts: np.ndarray) -> np.ndarray:
     """How many letters of each of CELLS groups a string has; the groups vary alike."""
     groups = np.argsort(-counts.var(0), kind="stable")
@@ -140,7 +149,7 @@ def _in_steps(pieces):
 def _of_short(a: list[str], b: list[str], a_slot: np.ndarray, b_slot: np.ndarray, least: float, scores: np.ndarray):
     """Positions and scores of the pairs of one slot with ratio ``least``, in pieces; for strings of at most LONGEST letters. b is in the order of its slots."""
     (a_code, b_code), counts, size = _coded([a, b])
-    lengths = [x.sum(1, dtype=np.int64) for x in counts]
+    lengths, grams = [x.sum(1, dtype=np.int64) for x in counts], [_grams(x) for x in (a_code, b_code)]
     both = np.concatenate(counts)
     bits = [np.zeros(len(a), np.uint64), np.zeros(len(b), np.uint64)]
     for e, (c, t) in enumerate(_bits(both)):
@@ -169,6 +178,10 @@ def _of_short(a: list[str], b: list[str], a_slot: np.ndarray, b_slot: np.ndarray
 
     ends = np.array([(1 << n) - 1 for n in range(LONGEST + 1)], np.uint64)
     for i, j in _in_steps(near()):
+        like = np.bitwise_count(grams[0][i] ^ grams[1][j]) <= 3 * rooms[lengths[0][i], lengths[1][j]]
+        i, j = i[like], j[like]
+        if not len(i):
+            continue
         row, base = np.full(len(i), ~np.uint64(0)), i * size
         for k in range(int(lengths[1][j].max())):
             u = row & at[base + b_code[k][j]]

@@ -1,7 +1,10 @@
+import random
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from tallyweir import session
-from tallyweir.operators import resolve
+from tallyweir.operators import blocks, resolve
 
 
 def test_what_may_be_among_keys_is_kept_and_most_else_left_out(spark):
@@ -28,3 +31,15 @@ def test_a_side_is_read_once(spark, tmp_path):
     assert {(r.customer_id, r.rid, r.part): (r.method, r.score) for r in m.collect()} == {("1", "a", "x"): ("name_fuzzy", 0.971), ("2", "a", "y"): ("cr", 1.0), (None, "b", None): ("name_exact", 1.0)}
     plan = m._jdf.queryExecution().optimizedPlan().toString()
     assert not any(said in plan for said in ("md5", "LogicalRDD"))
+
+
+def test_a_letter_more_or_less_changes_three_pairs_of_neighbours_at_most():
+    rng = random.Random(6)
+    for _ in range(2000):
+        a = b = [rng.randrange(1, 30) for _ in range(rng.randrange(1, 30))]
+        slips = rng.randrange(0, 5)
+        for _ in range(slips):
+            i = rng.randrange(len(b) + 1)
+            b = rng.choice([b[:i] + b[i + 1 :] if len(b) > 1 else b, b[:i] + [rng.randrange(1, 30)] + b[i:]])
+        x, y = (blocks._grams(np.array([s + [0] * (40 - len(s))], np.int32))[0] for s in (a, b))
+        assert int(x ^ y).bit_count() <= 3 * slips
